@@ -1,0 +1,4 @@
+"""Intentionally empty: every report is a batch query over a date window.
+
+A rolling report is the same function called again with a later ``as_of``.
+"""
