@@ -19,13 +19,17 @@ hot keys AQE splits on the fact side.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_FROM, _UNTIL, _EFFECTIVE, _DAY = "__asof_from", "__asof_until", "__asof_effective", "__asof_day"
+_FROM = "__asof_from"
+_UNTIL = "__asof_until"
+_EFFECTIVE = "__asof_effective"
+_DAY = "__asof_day"
+_LOOKUP = "__asof_lookup"
 
 
 def asof_join(
@@ -45,33 +49,37 @@ def asof_join(
     before or after them. They drop versions no fact can use, which leaves at most one
     version per day of the period and key to choose from.
     """
-    names = {key: f"__asof_key{i}" for i, key in enumerate(keys)}
-    usable = history.where(F.col(effective).isNotNull())
-    for history_key in keys.values():
-        usable = usable.where(F.col(history_key).isNotNull())
+    version_keys = [f"__asof_version_key{i}" for i in range(len(keys))]
+    row_keys = [f"__asof_row_key{i}" for i in range(len(keys))]
+    usable = F.col(effective).isNotNull()
+    for column in keys.values():
+        usable = usable & F.col(column).isNotNull()
     if until is not None:
-        usable = usable.where(F.col(effective) <= F.lit(until))
-    renamed = [F.col(column).alias(names[key]) for key, column in keys.items()]
+        usable = usable & (F.col(effective) <= F.lit(until))
+    known = history.where(usable)
 
-    by_key = Window.partitionBy(*names.values()).orderBy(_FROM)
+    by_key = Window.partitionBy(*version_keys).orderBy(_FROM)
     versions = (
-        usable.select(*renamed, F.col(effective).alias(_FROM))
+        known.select(*_renamed(keys.values(), version_keys), F.col(effective).alias(_FROM))
         .distinct()
         .withColumn(_UNTIL, F.lead(_FROM).over(by_key))
     )
     if since is not None:
         versions = versions.where(F.col(_UNTIL).isNull() | (F.col(_UNTIL) > F.lit(since)))
+    rows = known.select(
+        *_renamed(keys.values(), row_keys),
+        F.col(effective).alias(_EFFECTIVE),
+        *_renamed(attributes.values(), attributes),
+    )
 
-    same_key = [F.col(key) == F.col(name) for key, name in names.items()]
     day = F.col(fact_date)
     in_force = (F.col(_FROM) <= day) & (F.col(_UNTIL).isNull() | (day < F.col(_UNTIL)))
-    dated = facts.join(versions, [*same_key, in_force], "left").drop(*names.values(), _UNTIL)
-
-    rows = usable.select(
-        *renamed, F.col(effective).alias(_EFFECTIVE), *_outputs(attributes)
+    same_version = F.col(_FROM) == F.col(_EFFECTIVE)
+    return (
+        facts.join(versions, [*_equal(keys, version_keys), in_force], "left")
+        .join(rows, [*_equal(keys, row_keys), same_version], "left")
+        .drop(*version_keys, *row_keys, _FROM, _UNTIL, _EFFECTIVE)
     )
-    same_version = [*same_key, F.col(_FROM) == F.col(_EFFECTIVE)]
-    return dated.join(rows, same_version, "left").drop(*names.values(), _FROM, _EFFECTIVE)
 
 
 def asof_join_unkeyed(
@@ -100,16 +108,22 @@ def asof_join_unkeyed(
     calendar = versions.select(_FROM, F.explode(F.sequence(_FROM, last_day)).alias(_DAY))
     latest = usable.agg(F.max(effective)).scalar()
 
+    rows = usable.select(
+        F.col(effective).alias(_EFFECTIVE), *_renamed(attributes.values(), attributes)
+    )
     # NULL dates stay NULL: least() alone would skip them.
     lookup = F.when(F.col(fact_date).isNotNull(), F.least(F.col(fact_date), latest))
-    dated = (
-        facts.withColumn("__asof_lookup", lookup)
-        .join(calendar, F.col("__asof_lookup") == F.col(_DAY), "left")
-        .drop("__asof_lookup", _DAY)
+    return (
+        facts.withColumn(_LOOKUP, lookup)
+        .join(calendar, F.col(_LOOKUP) == F.col(_DAY), "left")
+        .join(rows, F.col(_FROM) == F.col(_EFFECTIVE), "left")
+        .drop(_LOOKUP, _DAY, _FROM, _EFFECTIVE)
     )
-    rows = usable.select(F.col(effective).alias(_EFFECTIVE), *_outputs(attributes))
-    return dated.join(rows, F.col(_FROM) == F.col(_EFFECTIVE), "left").drop(_FROM, _EFFECTIVE)
 
 
-def _outputs(attributes: Mapping[str, str]) -> list[Column]:
-    return [F.col(column).alias(name) for name, column in attributes.items()]
+def _renamed(columns: Iterable[str], names: Iterable[str]) -> list[Column]:
+    return [F.col(column).alias(name) for column, name in zip(columns, names)]
+
+
+def _equal(left: Iterable[str], right: Iterable[str]) -> list[Column]:
+    return [F.col(a) == F.col(b) for a, b in zip(left, right)]

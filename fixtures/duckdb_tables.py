@@ -146,7 +146,7 @@ _CTES: dict[str, str] = {
     "apps_flyer_network_attributes": f"""
         SELECT {_network_from('c_custkey')} AS apps_flyer_network_id,
                DATE '2024-01-04' + CAST(c_custkey // 90 % 9 * 3 AS INTEGER) AS effective_date,
-               max(c_custkey % 40) / 10 + 0.5 AS cpi, c_nationkey % 2 AS network_type
+               max(c_custkey % 40) / 10 + 0.5 AS cpi, if(c_acctbal > 9000, 2, 1) AS network_type
         FROM customer GROUP BY ALL
     """,
     "apps_flyer_network_publisher_attributes": f"""
@@ -170,12 +170,12 @@ _CTES: dict[str, str] = {
             SELECT {_network_from('o_custkey')} AS apps_flyer_network_id,
                    CASE o_orderstatus WHEN 'F' THEN 11 WHEN 'O' THEN 36 ELSE 40 END AS user_id,
                    DATE '2024-01-05' + CAST(o_orderkey % 14 * 2 AS INTEGER) AS effective_date,
-                   o_orderpriority = '1-URGENT' AS urgent, max(o_custkey % 50) AS percent
+                   o_totalprice > 490000 AS second, max(o_custkey % 50) AS percent
             FROM orders GROUP BY ALL
             UNION ALL
             SELECT NULL, CASE s_nationkey % 3 WHEN 0 THEN 11 WHEN 1 THEN 36 ELSE 40 END,
                    DATE '2024-01-02' + CAST(s_suppkey % 9 * 3 AS INTEGER),
-                   s_nationkey > 12, max(s_suppkey % 30)
+                   s_acctbal > 9000, max(s_suppkey % 30)
             FROM supplier GROUP BY ALL)
     """,
 }

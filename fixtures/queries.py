@@ -225,7 +225,7 @@ def _aggregated(t: FixtureTables, days: int, least: int) -> DataFrame:
     return fraud.aggregated_no_events(t["bime_export_aggregated_events"], AS_OF, days, least)
 
 
-_BUILDERS: dict[str, Callable[[FixtureTables], DataFrame]] = {
+BUILDERS: dict[str, Callable[[FixtureTables], DataFrame]] = {
     "u01_daily_installs": _daily,
     "u02_asof_keyed": _asof_keyed,
     "u02_asof_unkeyed": _asof_unkeyed,
@@ -281,4 +281,4 @@ _BUILDERS: dict[str, Callable[[FixtureTables], DataFrame]] = {
     "u26_funnel_full": _funnel_full,
 }
 
-QUERIES: dict[str, Query] = {name: _on_tables(build) for name, build in _BUILDERS.items()}
+QUERIES: dict[str, Query] = {name: _on_tables(build) for name, build in BUILDERS.items()}

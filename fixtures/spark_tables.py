@@ -10,19 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlytics.functions import classify
+from adlytics.sources.schemas import SCHEMAS
 
 AS_OF = date(2024, 1, 31)
 FIRST_DAY = date(2024, 1, 1)
 LAST_DAY = date(2024, 1, 30)
-USERS = (11, 36, 40)
 STANDARD_APP = "Standard App"
 STANDARD_APP_IDS = (1, 2)
 
-_SCHEMAS = {
+_SOURCE_SCHEMAS = {
     "events": (
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
         "value double, props string"
@@ -58,19 +58,46 @@ _SOURCES = (
 _EXPORT_SUBS = ("sub0", "Re-sub", "sub_gagement", "Burst_sub", "targeting", "Rest")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), (index + 1).cast("int"))
+def _pick(values: tuple[str, ...], index: str) -> str:
+    names = ", ".join(f"'{value}'" for value in values)
+    return f"element_at(array({names}), cast({index} + 1 as int))"
 
 
-def _network_id(name_id: Column, app_id: Column, country_id: Column) -> Column:
-    return name_id * 1000 + app_id * 100 + country_id
-
-
-def _network_from(key: Column) -> Column:
+def _network_from(key: str) -> str:
     """Spreads any key over the 6 x 3 x 5 possible networks."""
-    return _network_id(
-        key % 6 + 1, F.floor(key / 6) % 3 + 1, F.floor(key / 18) % 5
-    ).cast("bigint")
+    return f"(({key} % 6 + 1) * 1000 + ({key} div 6 % 3 + 1) * 100 + {key} div 18 % 5)"
+
+
+_EV = (
+    "event_id",
+    "ts",
+    "cast(ts as date) AS d",
+    "event_type",
+    "value",
+    "k",
+    "user_id % 3 + 1 AS app_id",
+    "concat('app', user_id % 3 + 1) AS app_name",
+    "user_id div 3 % 6 + 1 AS name_id",
+    f"{_pick(_SOURCES, 'user_id div 3 % 6')} AS media_source",
+    "user_id % 5 AS country_id",
+    "concat('REGION_', user_id % 5) AS country_code",
+    "if(event_id % 2 = 0, 'ios', 'android') AS os",
+    f"{_pick(_CAMPAIGNS, 'event_id % 9')} AS campaign",
+    "if(event_id % 11 != 0, event_id % 2, null) AS pub",
+    "if(event_id % 13 != 0, event_id div 2 % 2, null) AS sub",
+    "concat('pub', pub) AS network_publisher",
+    "concat('sub', sub) AS network_sub_publisher",
+    "cast(if(event_id % 29 != 0, event_id % 5, null) as int) AS source_provider_id",
+    "concat_ws('.', '10', user_id, k % 5) AS ip",
+    """CASE WHEN event_id % 19 = 0 THEN -k * 1000000
+            WHEN event_id % 23 = 0 THEN k * 2000000 + 400000
+            WHEN event_id % 2 = 0 THEN k * 2000000
+            ELSE k * 3600000000 END AS delay""",
+    """if(event_id % 17 != 0,
+          concat('{"Click Time": "', timestampadd(MICROSECOND, -delay, ts), '"}'),
+          '{}') AS raw_data""",
+    "name_id * 1000 + app_id * 100 + country_id AS network_id",
+)
 
 
 class FixtureTables(Mapping[str, DataFrame]):
@@ -80,174 +107,102 @@ class FixtureTables(Mapping[str, DataFrame]):
         self._spark = spark
         self._dir = sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._ev: DataFrame | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in SCHEMAS:
+            raise KeyError(name)
         if name not in self._built:
-            try:
-                build = getattr(self, f"_{name}")
-            except AttributeError:
-                raise KeyError(name) from None
-            self._built[name] = build()
+            self._built[name] = getattr(self, f"_{name}")()
         return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
-        from adlytics.sources.schemas import SCHEMAS
-
         return iter(SCHEMAS)
 
     def __len__(self) -> int:
-        return sum(1 for _ in self)
+        return len(SCHEMAS)
 
     def source(self, name: str) -> DataFrame:
         """One of the generated tables."""
         path = f"{self._dir}/{name}.parquet"
-        return self._spark.read.schema(_SCHEMAS[name]).parquet(path)
+        return self._spark.read.schema(_SOURCE_SCHEMAS[name]).parquet(path)
 
     def ev(self) -> DataFrame:
         """Events with the attribution columns every fact is taken from."""
-        key, user = F.col("event_id"), F.col("user_id")
-        k = F.get_json_object("props", "$.k").cast("bigint")
-        name_id = F.floor(user / 3) % 6 + 1
-        delay = (
-            F.when(key % 19 == 0, -F.col("k") * 1_000_000)
-            .when(key % 23 == 0, F.col("k") * 2_000_000 + 400_000)
-            .when(key % 2 == 0, F.col("k") * 2_000_000)
-            .otherwise(F.col("k") * 3_600_000_000)
-        )
-        clicked = F.timestamp_add("MICROSECOND", -delay, F.col("ts")).cast("string")
-        raw = F.when(
-            key % 17 != 0, F.concat(F.lit('{"Click Time": "'), clicked, F.lit('"}'))
-        ).otherwise("{}")
-        return (
-            self.source("events")
-            .withColumn("k", k)
-            .select(
-                "event_id",
-                "ts",
-                F.to_date("ts").alias("d"),
-                "event_type",
-                "value",
-                "k",
-                (user % 3 + 1).alias("app_id"),
-                F.concat(F.lit("app"), user % 3 + 1).alias("app_name"),
-                name_id.cast("bigint").alias("name_id"),
-                _pick(_SOURCES, name_id - 1).alias("media_source"),
-                (user % 5).alias("country_id"),
-                F.concat(F.lit("REGION_"), user % 5).alias("country_code"),
-                F.when(key % 2 == 0, "ios").otherwise("android").alias("os"),
-                _pick(_CAMPAIGNS, key % 9).alias("campaign"),
-                F.when(key % 11 != 0, key % 2).alias("pub"),
-                F.when(key % 13 != 0, F.floor(key / 2) % 2).alias("sub"),
-                F.when(key % 29 != 0, key % 5).cast("int").alias("source_provider_id"),
-                F.concat_ws(".", F.lit("10"), user, F.col("k") % 5).alias("ip"),
-                raw.alias("raw_data"),
-                _network_id(name_id, user % 3 + 1, user % 5).cast("bigint").alias("network_id"),
-            )
-            .withColumn("network_publisher", F.concat(F.lit("pub"), "pub"))
-            .withColumn("network_sub_publisher", F.concat(F.lit("sub"), "sub"))
-        )
+        if self._ev is None:
+            k = "cast(get_json_object(props, '$.k') as bigint) AS k"
+            self._ev = self.source("events").selectExpr("*", k).selectExpr(*_EV)
+        return self._ev
 
     def _apps_flyer_data(self) -> DataFrame:
-        return self.ev().select(
-            "app_id",
-            "campaign",
-            F.col("media_source").alias("network_name"),
-            "network_publisher",
-            "network_sub_publisher",
-            "country_code",
-            F.col("ts").alias("install_time"),
-            "source_provider_id",
-            "ip",
-            "raw_data",
+        return self.ev().selectExpr(
+            "app_id", "campaign", "media_source AS network_name", "network_publisher",
+            "network_sub_publisher", "country_code", "ts AS install_time",
+            "source_provider_id", "ip", "raw_data",
         )
 
     def _apps_flyer_events(self) -> DataFrame:
         return (
             self.ev()
-            .where(F.col("event_type") == "purchase")
-            .select(
-                "app_id",
-                "country_code",
-                F.col("media_source").alias("network_name"),
-                "network_publisher",
-                "network_sub_publisher",
-                F.col("ts").alias("install_time"),
+            .where("event_type = 'purchase'")
+            .selectExpr(
+                "app_id", "country_code", "media_source AS network_name",
+                "network_publisher", "network_sub_publisher", "ts AS install_time",
             )
         )
 
     def _bime_export_aggregated_events(self) -> DataFrame:
-        kind, k = F.col("event_type"), F.col("k")
-        event_name = (
-            F.when(kind == "view", "impressions")
-            .when(kind == "click", "clicks")
-            .when(kind == "signup", "installs")
-            .when(kind == "error", F.when(F.col("event_id") % 2 == 0, "uninstall"))
-            .when(k < 15, "signup (Unique users)")
-            .when(k < 30, "category_choose (Event counter)")
-            .when(k < 45, "order_location (Event counter)")
-            .when(k < 55, "dummyevent1")
-            .when(k < 65, "dummyevent2")
-            .when(k < 80, "dummyevent3")
-            .when(k < 90, "conversions")
-            .otherwise("total_revenue")
-        )
-        measure = (
-            F.when(F.col("event_name") == "total_revenue", F.col("value"))
-            .when(F.col("event_name") == "dummyevent3", 0)
-            .otherwise(1)
-            .cast("decimal(18,2)")
-        )
+        event_name = """
+            CASE WHEN event_type = 'view' THEN 'impressions'
+                 WHEN event_type = 'click' THEN 'clicks'
+                 WHEN event_type = 'signup' THEN 'installs'
+                 WHEN event_type = 'error' THEN if(event_id % 2 = 0, 'uninstall', null)
+                 WHEN k < 15 THEN 'signup (Unique users)'
+                 WHEN k < 30 THEN 'category_choose (Event counter)'
+                 WHEN k < 45 THEN 'order_location (Event counter)'
+                 WHEN k < 55 THEN 'dummyevent1'
+                 WHEN k < 65 THEN 'dummyevent2'
+                 WHEN k < 80 THEN 'dummyevent3'
+                 WHEN k < 90 THEN 'conversions'
+                 ELSE 'total_revenue' END AS event_name"""
+        total = """
+            cast(sum(cast(CASE event_name WHEN 'total_revenue' THEN value
+                                          WHEN 'dummyevent3' THEN 0 ELSE 1 END
+                     as decimal(18,2))) as decimal(18,2)) AS count"""
         return (
             self.ev()
-            .withColumn("event_name", event_name)
+            .selectExpr("*", event_name)
             .groupBy(
-                F.col("d").alias("date"),
-                "app_id",
-                "app_name",
-                "country_code",
-                "os",
-                "media_source",
-                "campaign",
-                "event_name",
+                F.col("d").alias("date"), "app_id", "app_name", "country_code", "os",
+                "media_source", "campaign", "event_name",
             )
-            .agg(F.sum(measure).cast("decimal(18,2)").alias("count"))
+            .agg(F.expr(total))
         )
 
     def _bime_export_installs(self) -> DataFrame:
-        key = F.col("event_id")
-        publisher = F.when(key % 7 == 0, "burst_pub").otherwise(F.col("network_publisher"))
         return (
             self.ev()
-            .where(F.col("event_type") == "signup")
-            .select(
-                F.col("event_id").alias("id"),
-                "app_id",
-                F.col("media_source").alias("network_name"),
-                publisher.alias("network_publisher"),
-                F.when(key % 13 != 0, _pick(_EXPORT_SUBS, key % 6)).alias(
-                    "network_sub_publisher"
-                ),
-                "country_code",
-                "country_id",
-                F.col("d").alias("install_date"),
-                F.lit(1).cast("bigint").alias("installs"),
-                F.when(key % 31 == 0, F.lit("renamed")).otherwise(F.col("app_name")).alias(
-                    "app_name"
-                ),
-                "os",
-                F.when(key % 5 == 0, "Incent").otherwise("Non").alias("network_type"),
-                F.lit(None).cast("double").alias("cpi"),
-                F.when(key % 37 != 0, F.col("value")).alias("spend"),
-                F.col("ts").alias("created_at"),
-                F.col("ts").alias("updated_at"),
+            .where("event_type = 'signup'")
+            .selectExpr(
+                "event_id AS id", "app_id", "media_source AS network_name",
+                "if(event_id % 7 = 0, 'burst_pub', network_publisher) AS network_publisher",
+                f"if(event_id % 13 != 0, {_pick(_EXPORT_SUBS, 'event_id % 6')}, null)"
+                " AS network_sub_publisher",
+                "country_code", "country_id", "d AS install_date",
+                "cast(1 as bigint) AS installs",
+                "if(event_id % 31 = 0, 'renamed', app_name) AS app_name", "os",
+                "if(event_id % 5 = 0, 'Incent', 'Non') AS network_type",
+                "cast(null as double) AS cpi",
+                "if(event_id % 37 != 0, value, null) AS spend",
+                "ts AS created_at", "ts AS updated_at",
             )
         )
 
     def _unconverting_sources(self) -> DataFrame:
         return (
             self.ev()
-            .where(F.col("event_type") == "error")
-            .select("app_id", "country_id", F.col("d").alias("date"), F.col("value").alias("spend"))
+            .where("event_type = 'error'")
+            .selectExpr("app_id", "country_id", "d AS date", "value AS spend")
         )
 
     def _cost_rows(self, event_type: str, *media: str) -> DataFrame:
@@ -255,71 +210,53 @@ class FixtureTables(Mapping[str, DataFrame]):
         return (
             self.ev()
             .where(F.col("event_type") == event_type)
-            .withColumn("media", label)
+            .select("*", label.alias("media"))
             .where(F.col("media").isin(*media))
-            .withColumn("campaign_type", classify.campaign_type(F.col("campaign")))
-            .withColumn(
-                "app_std",
-                F.when(F.col("app_id").isin(*STANDARD_APP_IDS), STANDARD_APP).otherwise("Other"),
+            .select("*", classify.campaign_type(F.col("campaign")).alias("campaign_type"))
+            .selectExpr(
+                "*",
+                f"if(app_id IN {STANDARD_APP_IDS}, '{STANDARD_APP}', 'Other') AS app_std",
+                "k div 10 AS clicks",
             )
-            .withColumn("clicks", F.floor(F.col("k") / 10))
         )
 
     def _google_campaign_performance(self) -> DataFrame:
-        return self._cost_rows("view", "googleadwords", classify.MEDIA_BUY).select(
-            F.col("app_std").alias("gac_app_name_std"),
-            F.col("os").alias("gac_os"),
-            F.col("media").alias("gac_main_source"),
-            F.col("campaign_type").alias("gac_type"),
-            F.col("country_code").alias("gac_country"),
-            F.col("d").alias("date"),
-            F.col("value").alias("costusd2"),
-            F.col("k").alias("impressions"),
-            "clicks",
+        return self._cost_rows("view", "googleadwords", classify.MEDIA_BUY).selectExpr(
+            "app_std AS gac_app_name_std", "os AS gac_os", "media AS gac_main_source",
+            "campaign_type AS gac_type", "country_code AS gac_country", "d AS date",
+            "value AS costusd2", "k AS impressions", "clicks",
         )
 
     def _facebook_campaign_performance(self) -> DataFrame:
-        return self._cost_rows("click", "facebook", "instagram").select(
-            F.col("app_std").alias("fb_app_name_std"),
-            "os",
-            F.col("media").alias("main_source"),
-            "campaign_type",
-            F.col("country_code").alias("fb_country_ext"),
-            F.col("d").alias("date"),
-            F.col("value").alias("spend"),
-            F.col("k").alias("impressions"),
-            "clicks",
+        return self._cost_rows("click", "facebook", "instagram").selectExpr(
+            "app_std AS fb_app_name_std", "os", "media AS main_source", "campaign_type",
+            "country_code AS fb_country_ext", "d AS date", "value AS spend",
+            "k AS impressions", "clicks",
         )
 
     def _apps(self) -> DataFrame:
-        app = F.col("user_id") % 3 + 1
         return (
             self.source("events")
-            .select(app.alias("id"))
+            .selectExpr("user_id % 3 + 1 AS id")
             .distinct()
-            .select(
-                "id",
-                F.concat(F.lit("app"), "id").alias("name"),
-                F.when(F.col("id") % 2 == 1, "ios").otherwise("android").alias("os"),
+            .selectExpr(
+                "id", "concat('app', id) AS name", "if(id % 2 = 1, 'ios', 'android') AS os"
             )
         )
 
     def _countries(self) -> DataFrame:
-        return self.source("region").select(
-            F.col("r_regionkey").cast("bigint").alias("id"),
-            F.concat(F.lit("REGION_"), "r_regionkey").alias("code"),
+        return self.source("region").selectExpr(
+            "cast(r_regionkey as bigint) AS id", "concat('REGION_', r_regionkey) AS code"
         )
 
     def _apps_flyer_network_names(self) -> DataFrame:
-        return self.ev().select(F.col("name_id").alias("id"), F.col("media_source").alias("name")).distinct()
+        return self.ev().selectExpr("name_id AS id", "media_source AS name").distinct()
 
     def _apps_flyer_networks(self) -> DataFrame:
         return (
             self.ev()
-            .select(
-                F.col("network_id").alias("id"),
-                "app_id",
-                F.col("name_id").alias("apps_flyer_network_name_id"),
+            .selectExpr(
+                "network_id AS id", "app_id", "name_id AS apps_flyer_network_name_id",
                 "country_id",
             )
             .distinct()
@@ -328,106 +265,100 @@ class FixtureTables(Mapping[str, DataFrame]):
     def _apps_flyer_network_publishers(self) -> DataFrame:
         return (
             self.ev()
-            .where((F.col("event_type") == "signup") & F.col("pub").isNotNull())
-            .select(
-                (F.col("network_id") * 10 + F.col("pub")).alias("id"),
-                F.col("network_id").alias("apps_flyer_network_id"),
-                F.col("network_publisher").alias("name"),
+            .where("event_type = 'signup' AND pub IS NOT NULL")
+            .selectExpr(
+                "network_id * 10 + pub AS id", "network_id AS apps_flyer_network_id",
+                "network_publisher AS name",
             )
             .distinct()
         )
 
     def _apps_flyer_network_sub_publishers(self) -> DataFrame:
-        parent = F.col("network_id") * 10 + F.col("pub")
         return (
             self.ev()
-            .where(
-                (F.col("event_type") == "purchase")
-                & F.col("pub").isNotNull()
-                & F.col("sub").isNotNull()
-            )
-            .select(
-                (parent * 10 + F.col("sub")).cast("bigint").alias("id"),
-                parent.alias("apps_flyer_network_publisher_id"),
-                F.col("network_sub_publisher").alias("name"),
+            .where("event_type = 'purchase' AND pub IS NOT NULL AND sub IS NOT NULL")
+            .selectExpr(
+                "(network_id * 10 + pub) * 10 + sub AS id",
+                "network_id * 10 + pub AS apps_flyer_network_publisher_id",
+                "network_sub_publisher AS name",
             )
             .distinct()
         )
 
     def _apps_flyer_network_attributes(self) -> DataFrame:
-        key = F.col("c_custkey")
-        effective = F.date_add(F.lit(date(2024, 1, 4)), (F.floor(key / 90) % 9 * 3).cast("int"))
         return (
             self.source("customer")
-            .groupBy(
-                _network_from(key).alias("apps_flyer_network_id"),
-                effective.alias("effective_date"),
-                (F.col("c_nationkey") % 2).alias("network_type"),
+            .selectExpr(
+                f"{_network_from('c_custkey')} AS apps_flyer_network_id",
+                "date_add(date'2024-01-04', cast(c_custkey div 90 % 9 * 3 as int))"
+                " AS effective_date",
+                "if(c_acctbal > 9000, 2, 1) AS network_type",
+                "c_custkey % 40 AS price",
             )
-            .agg((F.max(key % 40) / 10 + 0.5).alias("cpi"))
-            .select("apps_flyer_network_id", "effective_date", "cpi", "network_type")
+            .groupBy("apps_flyer_network_id", "effective_date", "network_type")
+            .agg(F.expr("max(price) / 10 + 0.5 AS cpi"))
         )
 
     def _apps_flyer_network_publisher_attributes(self) -> DataFrame:
-        key = F.col("p_partkey")
-        publisher = _network_from(key) * 10 + F.floor(key / 90) % 2
-        effective = F.date_add(F.lit(date(2024, 1, 6)), (F.floor(key / 180) % 5 * 5).cast("int"))
         return (
             self.source("part")
-            .groupBy(
-                publisher.alias("apps_flyer_network_publisher_id"),
-                effective.alias("effective_date"),
+            .selectExpr(
+                f"{_network_from('p_partkey')} * 10 + p_partkey div 90 % 2"
+                " AS apps_flyer_network_publisher_id",
+                "date_add(date'2024-01-06', cast(p_partkey div 180 % 5 * 5 as int))"
+                " AS effective_date",
+                "p_size",
             )
-            .agg((F.max("p_size") / 10).alias("publisher_cpi"))
+            .groupBy("apps_flyer_network_publisher_id", "effective_date")
+            .agg(F.expr("max(p_size) / 10 AS publisher_cpi"))
         )
 
     def _apps_flyer_network_sub_publisher_attributes(self) -> DataFrame:
-        key = F.col("l_partkey")
-        publisher = _network_from(key) * 10 + F.floor(key / 90) % 2
-        sub_publisher = publisher * 10 + F.floor(key / 180) % 2
-        effective = F.date_add(F.lit(date(2024, 1, 10)), F.col("l_linenumber") * 2)
         return (
             self.source("lineitem")
-            .groupBy(
-                sub_publisher.alias("apps_flyer_network_sub_publisher_id"),
-                effective.alias("effective_date"),
+            .selectExpr(
+                f"({_network_from('l_partkey')} * 10 + l_partkey div 90 % 2) * 10"
+                " + l_partkey div 180 % 2 AS apps_flyer_network_sub_publisher_id",
+                "date_add(date'2024-01-10', l_linenumber * 2) AS effective_date",
+                "l_quantity",
             )
-            .agg((F.max("l_quantity") / 20).alias("sub_publisher_cpi"))
+            .groupBy("apps_flyer_network_sub_publisher_id", "effective_date")
+            .agg(F.expr("max(l_quantity) / 20 AS sub_publisher_cpi"))
         )
 
     def _mark_ups(self) -> DataFrame:
         """Custom mark-ups from the orders, defaults from the suppliers.
 
-        Up to two rows per network, user and day are kept, so ties do occur.
+        Large orders and rich suppliers give a second row for a date, so ties do occur.
         """
-        order, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        user = F.when(status == "F", USERS[0]).when(status == "O", USERS[1]).otherwise(USERS[2])
+        keys = ("apps_flyer_network_id", "user_id", "effective_date", "second")
+        percent = F.expr("cast(max(percent) as decimal(9,4)) AS markup_percent")
         custom = (
             self.source("orders")
-            .groupBy(
-                _network_from(F.col("o_custkey")).alias("apps_flyer_network_id"),
-                user.cast("bigint").alias("user_id"),
-                F.date_add(F.lit(date(2024, 1, 5)), (order % 14 * 2).cast("int")).alias(
-                    "effective_date"
-                ),
-                (F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+            .selectExpr(
+                f"{_network_from('o_custkey')} AS apps_flyer_network_id",
+                "cast(CASE o_orderstatus WHEN 'F' THEN 11 WHEN 'O' THEN 36 ELSE 40 END"
+                " as bigint) AS user_id",
+                "date_add(date'2024-01-05', cast(o_orderkey % 14 * 2 as int))"
+                " AS effective_date",
+                "o_totalprice > 490000 AS second",
+                "o_custkey % 50 AS percent",
             )
-            .agg(F.max(F.col("o_custkey") % 50).cast("decimal(9,4)").alias("markup_percent"))
-        )
-        supplier, nation = F.col("s_suppkey"), F.col("s_nationkey")
-        default_user = (
-            F.when(nation % 3 == 0, USERS[0]).when(nation % 3 == 1, USERS[1]).otherwise(USERS[2])
+            .groupBy(*keys)
+            .agg(percent)
         )
         default = (
             self.source("supplier")
-            .groupBy(
-                F.lit(None).cast("bigint").alias("apps_flyer_network_id"),
-                default_user.cast("bigint").alias("user_id"),
-                F.date_add(F.lit(date(2024, 1, 2)), (supplier % 9 * 3).cast("int")).alias(
-                    "effective_date"
-                ),
-                (nation > 12).alias("urgent"),
+            .selectExpr(
+                "cast(null as bigint) AS apps_flyer_network_id",
+                "cast(CASE s_nationkey % 3 WHEN 0 THEN 11 WHEN 1 THEN 36 ELSE 40 END"
+                " as bigint) AS user_id",
+                "date_add(date'2024-01-02', cast(s_suppkey % 9 * 3 as int))"
+                " AS effective_date",
+                "s_acctbal > 9000 AS second",
+                "s_suppkey % 30 AS percent",
             )
-            .agg(F.max(supplier % 30).cast("decimal(9,4)").alias("markup_percent"))
+            .groupBy(*keys)
+            .agg(percent)
         )
-        return custom.union(default).drop("urgent")
+        return custom.union(default).drop("second")
