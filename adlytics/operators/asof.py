@@ -12,9 +12,9 @@ The lookup runs in two equality joins instead of a maximum per fact:
    is put beside each. The fact picks the one version that contains its date.
 2. The attribute rows of exactly that key and date are joined.
 
-No side carries a broadcast hint. Spark broadcasts a side whose size it has checked
-against ``autoBroadcastJoinThreshold``; past that the joins are sort-merge joins whose
-hot keys AQE splits on the fact side.
+Tables carry no broadcast hint. Spark broadcasts a side whose size it has checked against
+``autoBroadcastJoinThreshold``; past that the joins are sort-merge joins whose hot keys
+AQE splits on the fact side.
 """
 
 from __future__ import annotations
@@ -95,7 +95,8 @@ def asof_join_unkeyed(
     written out as a calendar instead, one row per day from the first effective date to
     the last, so that the fact finds its version by equality. Facts after the last
     effective date look that date up. The calendar is bounded by the number of days
-    spanned, not by the size of either table, and so is the window that builds it.
+    spanned, not by the size of either table, and so is the window that builds it; that
+    bound is why this one side is always broadcast.
     """
     usable = history.where(F.col(effective).isNotNull())
     by_date = Window.partitionBy(F.lit(0)).orderBy(_FROM)
@@ -115,7 +116,7 @@ def asof_join_unkeyed(
     lookup = F.when(F.col(fact_date).isNotNull(), F.least(F.col(fact_date), latest))
     return (
         facts.withColumn(_LOOKUP, lookup)
-        .join(calendar, F.col(_LOOKUP) == F.col(_DAY), "left")
+        .join(F.broadcast(calendar), F.col(_LOOKUP) == F.col(_DAY), "left")
         .join(rows, F.col(_FROM) == F.col(_EFFECTIVE), "left")
         .drop(_LOOKUP, _DAY, _FROM, _EFFECTIVE)
     )
