@@ -168,8 +168,9 @@ def installs_without_events(
     """Sources with enough installs and not one in-app event in the window.
 
     Both sides shrink to one row per source before they meet, and sources below the
-    minimum are gone by then. A source with a NULL name or country matches nothing, so it
-    is always reported.
+    minimum are gone by then. Grouping both by the same column list leaves them partitioned
+    alike, so the join itself shuffles nothing. A source with a NULL name or country
+    matches nothing, so it is always reported.
     """
     start = period.days_before(as_of, days)
     counted = (
@@ -180,8 +181,8 @@ def installs_without_events(
     )
     active = (
         period.since(events, "install_time", start, strictly=True)
-        .select(*SUB_PUBLISHER_COUNTRY)
-        .distinct()
+        .groupBy(*SUB_PUBLISHER_COUNTRY)
+        .agg(F.count("install_time").alias("events"))
     )
     return (
         counted.join(active, list(SUB_PUBLISHER_COUNTRY), "left_anti")

@@ -18,7 +18,6 @@ def spark() -> Iterator[SparkSession]:
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",
-        "spark.sql.maxMetadataValueLength": "2000",
     }
     for key, value in {**SETTINGS, **local}.items():
         builder = builder.config(key, value)

@@ -224,6 +224,12 @@ class TestInstallsWithoutEvents:
         )
         assert rows(found, "installs") == [(10,)]
 
+    def test_join_shuffles_nothing_of_its_own(self, spark, sort_merge):
+        text = plan(
+            fraud.installs_without_events(installs(spark, {}), self.events(spark, {}), AS_OF)
+        )
+        assert text.count("Exchange hashpartitioning") == 2
+
     def test_order(self, spark):
         facts = installs(
             spark, {"network_name": None}, {"network_name": "b"}, {"network_name": "a"},

@@ -61,8 +61,8 @@ def test_scan_reads_only_the_columns_a_screen_needs(spark, tmp_path):
     tables = read_tables(spark, str(tmp_path), ["apps_flyer_data"])
     apps = spark.createDataFrame([], SCHEMAS["apps"])
     text = plan(fraud.duplicate_ip_sources(tables["apps_flyer_data"], apps, AS_OF))
-    schema = text.split("ReadSchema: struct<")[1].split(">")[0]
-    assert {column.split(":")[0] for column in schema.split(",")} == {
+    scanned = text.split("FileScan parquet [")[1].split("]")[0]
+    assert {column.split("#")[0] for column in scanned.split(",")} == {
         "app_id", "network_name", "network_publisher", "network_sub_publisher",
         "country_code", "install_time", "source_provider_id", "ip",
     }
