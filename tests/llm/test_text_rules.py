@@ -1,0 +1,86 @@
+"""Sharding, line dedup and quality rules against plain Python."""
+
+from __future__ import annotations
+
+import brute
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+from adlytics.llm import jump_sharding, line_dedup, line_rules, queries
+
+
+def ordered(rows):
+    return sorted(map(tuple, rows), key=str)
+
+
+def test_jump_shards_match_the_published_function(spark):
+    keys = [0, 1, 10, 256, 0xDEAD10CC, -1, 2**63 - 1, -(2**63), *range(1000, 1300)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for shards in (1, 2, 16, 17, 1000):
+        got = df.select("k", jump_sharding.jump_shard(F.col("k"), shards).alias("s")).collect()
+        assert {r.k: r.s for r in got} == {k: brute.jump(k, shards) for k in keys}
+
+
+@pytest.mark.parametrize("source", ["plain", "awkward", "empty"])
+def test_sharding(source, documents, pairs, awkward, awkward_pairs, empty):
+    df, rows = {"plain": (documents, pairs), "awkward": (awkward, awkward_pairs), "empty": (empty, [])}[source]
+    got = jump_sharding.shard_rows(df, "doc_id", "text", 16).collect()
+    assert ordered((r.key, r.size, r.text_crc32, r.shard, r.grown_shard) for r in got) == ordered(brute.shards(rows, 16))
+    for shard in {r.shard for r in got}:
+        own = [r for r in got if r.shard == shard]
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    assert all(r.grown_shard in (r.shard, 16) for r in got)
+
+
+@pytest.mark.parametrize("share", [1 / 512, 1e-6])
+@pytest.mark.parametrize("source", ["plain", "awkward", "empty"])
+def test_line_dedup(source, share, documents, pairs, awkward, awkward_pairs, empty, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", share)
+    df, rows = {"plain": (documents, pairs), "awkward": (awkward, awkward_pairs), "empty": (empty, [])}[source]
+    got = line_dedup.dedup_lines(df).select(
+        "__doc.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256)
+    )
+    assert ordered(got.collect()) == ordered(brute.dedup(rows))
+
+
+def test_bitmaps_are_run_lengths(spark):
+    text = "aaaaaaaaaa\nbbbbbbbbbb\ncccccccccc\nd\neeeeeeeeee"
+    docs = spark.createDataFrame(
+        [(1, "bbbbbbbbbb\ncccccccccc\neeeeeeeeee"), (2, text), (3, "zzzzzzzzzzz")], "doc_id long, text string"
+    )
+    got = {r.doc: r.runs for r in line_dedup.keep_bitmaps(docs).collect()}
+    assert got == {2: [1, 2, 1, 1]}
+
+
+@pytest.mark.parametrize("source", ["plain", "awkward", "empty"])
+def test_base_quality(source, documents, pairs, awkward, awkward_pairs, empty):
+    df, rows = {"plain": (documents, pairs), "awkward": (awkward, awkward_pairs), "empty": (empty, [])}[source]
+    got = line_rules.clean_lines(df).select(
+        "__doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"
+    )
+    assert ordered(got.collect()) == ordered(brute.base_quality(rows))
+
+
+def test_lines_fail_first_then_documents(spark):
+    clean = "\n".join(f"Ab{i} cd{i} ef{i} gh{i} ij{i} kl{i}." for i in range(12))
+    menu = "Home | About | News | Contact | Search"
+    docs = spark.createDataFrame(
+        [
+            (1, clean),
+            (2, clean + "\n" + menu + "\nAll rights reserved."),
+            (3, clean + "\n" + "\n".join([f"{menu} {i}" for i in range(20)])),
+            (4, "too short."),
+        ],
+        "doc_id long, text string",
+    )
+    got = {r.doc_id: r for r in line_rules.clean_lines(docs).select("*", "__doc.doc_id").collect()}
+    assert [got[i].kept for i in (1, 2, 3, 4)] == [True, True, False, False]
+    assert got[2].cleaned == clean and got[1].cleaned == clean
+    assert not got[3].base_failed
+
+
+def test_clean_documents_are_kept(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1")
+    got = queries.op9_line_rules(spark, SF).where("not base_failed").join(labels, "doc_id")
+    assert got.where("not kept").count() == 0 and got.count() > 0
