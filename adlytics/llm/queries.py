@@ -4,15 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlytics.llm import jump_sharding, line_dedup, line_rules
+from adlytics.llm import (
+    best_fit,
+    jump_sharding,
+    license_scan,
+    line_dedup,
+    line_rules,
+    mixing,
+    projected_search,
+    quote_links,
+    repair_store,
+    signature_trees,
+)
 from adlytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = quote_links.link_quotes(table(spark, sf_dir, "conversations"))
+    return linked.withColumnRenamed("conversation", "conv_id")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, sized, entries = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.taken_words(mixed, sized, entries).select(
+        F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
 def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = jump_sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", 16)
     return placed.select(
@@ -26,6 +50,13 @@ def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = signature_trees.similar_documents(
+        table(spark, sf_dir, "documents"), width=3, percent=90
+    )
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -33,6 +64,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("doc", "doc_id")
+
+
+def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = best_fit.token_pieces(table(spark, sf_dir, "documents"), path, 2, 1024)
+    return best_fit.pack(pieces, 1024)
+
+
+def op8_projected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_search.nearest(table(spark, sf_dir, "embeddings"), 100, 10)
+
+
 def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_rules.clean_lines(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -48,8 +94,22 @@ def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = repair_store.fresh_path(spark)
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    repair_store.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary, 1)
+    return repair_store.read_documents(spark, path)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quote_links": op1_quote_links,
+    "op2_mixing": op2_mixing,
     "op3_jump_sharding": op3_jump_sharding,
+    "op4_signature_trees": op4_signature_trees,
     "op5_line_dedup": op5_line_dedup,
+    "op6_license_scan": op6_license_scan,
+    "op7_best_fit": op7_best_fit,
+    "op8_projected_search": op8_projected_search,
     "op9_line_rules": op9_line_rules,
+    "op10_repair_store": op10_repair_store,
 }

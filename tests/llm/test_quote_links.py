@@ -1,0 +1,133 @@
+"""Quotation linking against plain Python, and awkward conversations."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from adlytics.llm import quote_links
+
+SCHEMA = "conv_id long, turn long, role string, text string, position string, m long"
+PREFIX = re.compile(r"^(?:[ \t]*>)+")
+ANNOUNCES = re.compile(r"\b(?:wrote|writes|schrieb|écrit|escribió)\s*:\s*$", re.I)
+
+
+def norm(text):
+    return re.sub(r"[ \t\n\x0b\f\r]+", " ", text.lower()).strip(" ")
+
+
+def parse(text):
+    lines = []
+    for line in (text or "").split("\n"):
+        prefix = (PREFIX.match(line) or [""])[0]
+        lines.append((prefix.count(">"), line[len(prefix) :]))
+    runs = []
+    for level, body in lines:
+        blank = not re.search(r"\S", body, re.A)
+        if not runs or runs[-1][:2] != [level, blank]:
+            runs.append([level, blank, []])
+        runs[-1][2].append(body)
+    passages = [(level, norm(" ".join(own))) for level, _, own in runs]
+    passages += [(level, norm(x)) for level, _, own in runs if len(own) > 1 for x in own]
+    own = [
+        body
+        for i, (level, body) in enumerate(lines)
+        if level == 0 and not (ANNOUNCES.search(body) and i + 1 < len(lines) and lines[i + 1][0] > 0)
+    ]
+    if any(level for level, _ in lines):
+        return [p for p in passages if p[1]], "\n".join(own).strip(" \t\n\r")
+    return [p for p in passages if p[1]], text or ""
+
+
+def linked(rows):
+    low = lambda x: (x is not None, x if x is not None else 0)
+    digest = lambda t: hashlib.md5((t or "").encode()).digest()
+    unique = {(c, t, r, digest(x)): x or "" for c, t, r, x in rows}
+    order = sorted(unique, key=lambda k: (low(k[0]), low(k[1]), (k[2] is not None, k[2] or ""), k[3]))
+    out, depth, parent = [], {}, {}
+    parsed = {k: parse(unique[k]) for k in order}
+    for m, key in enumerate(order):
+        passages, _ = parsed[key]
+        votes, n_linked = {}, 0
+        for level, own in passages:
+            if level:
+                by = [i for i, k in enumerate(order) if k[0] == key[0] and (0, own) in parsed[k][0]]
+                if by and by[0] < m:
+                    votes[level, by[0]] = votes.get((level, by[0]), 0) + len(own)
+                    n_linked += 1
+        if votes:
+            parent[m] = max((-level, chars, by) for (level, by), chars in votes.items())[2]
+        elif m and order[m - 1][0] == key[0]:
+            parent[m] = m - 1
+        depth[m] = depth[parent[m]] + 1 if m in parent else 0
+        out.append([m, n_linked])
+    place = {}
+    for conv in {k[0] for k in order}:
+        own = sorted((depth[m], m) for m in range(len(order)) if order[m][0] == conv)
+        place |= {m: i for i, (_, m) in enumerate(own)}
+    return [
+        (
+            *order[m][:3],
+            place[m],
+            place.get(parent.get(m)),
+            depth[m],
+            sum(level > 0 for level, _ in parsed[order[m]][0]),
+            n,
+            parsed[order[m]][1],
+        )
+        for m, n in out
+    ]
+
+
+THREAD = [
+    (7, 0, "a", "Hello all.\nHow do I sort?\n\nThanks,\nme"),
+    (7, 1, "b", "On Monday a wrote:\n> How do I   SORT?\n\nUse order by."),
+    (7, 2, "c", "> Hello all.\n> How do I sort?\nWhat have you tried?"),
+    (7, 3, "a", "b wrote:\n>> How do I sort?\n> Use order by.\nIt works."),
+    (7, 4, "d", "> > What have you tried?\n> nothing known\nMe too."),
+    (7, 5, "e", "No quote here"),
+    (8, 0, "x", "> Use order by.\nAnother conversation."),
+    (8, 1, "x", None),
+    (8, 1, "x", None),
+    (8, None, "y", ""),
+    (None, 3, None, ">\n>>\n> \n\n"),
+    (None, 2, None, "wrote:\n> q"),
+    (9, 0, "u", "same\nsame"),
+    (9, 0, "u", "same\nsame"),
+    (9, 0, "v", "> same\n" * 3000 + "end"),
+    (10, 0, "p", "longer quote wins here\n\nshort"),
+    (10, 1, "q", "alpha"),
+    (10, 2, "r", "> alpha\n\n> longer quote wins here\n\nfine"),
+]
+
+
+def test_threads(spark):
+    df = spark.createDataFrame([(*r, "p", 1) for r in THREAD], SCHEMA)
+    got = quote_links.link_quotes(df)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(linked(THREAD), key=str)
+    by_turn = {r.turn: r for r in got.where("conversation = 7").collect()}
+    assert by_turn[1].text == "Use order by." and by_turn[3].text == "It works."
+    assert by_turn[3].reply_to == by_turn[1].position
+    assert by_turn[2].reply_to == by_turn[0].position == 0
+
+
+def test_whole_table_and_long_chains(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in df.collect()]
+    got = quote_links.link_quotes(df).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(linked(rows), key=str)
+    chain = spark.range(0, 700).selectExpr("1L conv_id", "id turn", "'u' role", "concat('t', id) text")
+    assert sorted(r.depth for r in quote_links.link_quotes(chain).collect()) == list(range(700))
+
+
+def test_empty(spark):
+    assert quote_links.link_quotes(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["", ">", "> a\n>> b\nc", " > a\n\t>b", "a\n\n\nb\n> c"])
+def test_parsing(spark, text):
+    df = quote_links.parsed(spark.createDataFrame([(text,)], "content string"))
+    row = df.first()
+    assert ([tuple(p) for p in row.passages], row.own) == parse(text)

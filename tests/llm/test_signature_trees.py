@@ -1,0 +1,138 @@
+"""Jaccard join against all pairs in plain Python."""
+
+from __future__ import annotations
+
+import random
+
+import brute
+import numpy as np
+import pytest
+
+from adlytics.llm import graph, signature_trees
+
+
+def components_by_brute_force(rows, width, percent):
+    """(doc_id, set size, smallest id reachable) of every row, from all pairs of sets."""
+    sets = []
+    for _, text in rows:
+        own = brute.WORD.findall((text or "").translate(brute.LOWER))
+        if len(own) >= width:
+            sets.append(frozenset(zip(*(own[k:] for k in range(width)))))
+        else:
+            sets.append(frozenset([tuple(own)]) if own else frozenset())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                shared = len(a & b)
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    root[find(i)] = find(j)
+    named = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            named[find(i)] = min(named.get(find(i), doc_id), doc_id)
+    return [(doc, len(s), named.get(find(i))) for i, ((doc, _), s) in enumerate(zip(rows, sets))]
+
+
+def near_copies(seed, n=120, length=90):
+    """Chains and stars of near copies, texts with a shared passage, short and equal texts."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randint(0, 4000)}"
+    passage = [word() for _ in range(25)]
+    texts = []
+    for _ in range(n // 10):
+        base = [word() for _ in range(length + rng.randint(-5, 5))]
+        texts.append(base)
+        for _ in range(4):
+            base = base if rng.random() < 0.5 else texts[-1]
+            own = list(base)
+            for _ in range(rng.randint(0, 3)):
+                own[rng.randrange(len(own))] = word()
+            texts.append(own)
+        texts.append(passage + [word() for _ in range(rng.randint(1, 60))])
+        texts.append([word() for _ in range(rng.randint(0, 4))])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    return rows
+
+
+def check(df, rows, width, percent):
+    got = signature_trees.similar_documents(df, width=width, percent=percent).collect()
+    want = components_by_brute_force(rows, width, percent)
+    assert sorted(((r.doc, r.n_shingles, r.component_id) for r in got), key=str) == sorted(want, key=str)
+    keepers = {}
+    for r in got:
+        if r.n_shingles and r.keeper:
+            keepers.setdefault(r.component_id, set()).add((r.doc, r.row))
+    assert all(len(v) == 1 for v in keepers.values())
+    assert len(keepers) == len({c for _, n, c in want if n})
+
+
+@pytest.mark.parametrize("source", ["plain", "awkward", "empty"])
+def test_tables(source, documents, pairs, awkward, awkward_pairs, empty):
+    df, rows = {"plain": (documents, pairs), "awkward": (awkward, awkward_pairs), "empty": (empty, [])}[source]
+    check(df, rows, 3, 90)
+
+
+@pytest.mark.parametrize("settings", [(32, 16, 2048, 32), (2, 2, 4, 3), (4, 3, 7, 1)])
+def test_near_copies(settings, spark, monkeypatch):
+    for name, value in zip(("LEAF", "FANOUT", "BLOCK", "HOT_COUNT"), settings):
+        monkeypatch.setattr(signature_trees, name, value)
+    rows = near_copies(sum(settings))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(df, rows, 3, 90)
+    check(df, rows, 5, 80)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_dual_traversal_loses_no_pair(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    for name, value in zip(("LEAF", "FANOUT"), [(2, 2), (5, 3), (32, 16)][seed % 3]):
+        monkeypatch.setattr(signature_trees, name, value)
+    m, percent = int(rng.integers(2, 150)), 80
+    base = rng.integers(0, 1 << 60, 300)
+    sets = []
+    for _ in range(m):
+        own = set(base[: rng.integers(5, 60)].tolist())
+        for t in list(own)[: rng.integers(0, 4)]:
+            own.discard(t)
+        sets.append(own | set(rng.integers(0, 1 << 60, rng.integers(0, 3)).tolist()))
+    n = np.array([len(s) for s in sets])
+    bits = np.zeros((m, 16), np.uint64)
+    for i, own in enumerate(sets):
+        for t in own:
+            bits[i, t % 1024 // 64] |= np.uint64(1) << np.uint64(t % 64)
+    comp = rng.integers(0, 6, m)
+    cut = m // 2
+    sides = [(np.arange(m), None)] + ([(np.arange(cut), np.arange(cut, m))] if cut else [])
+    for left, right in sides:
+        got = set()
+        for p, q in signature_trees.tree_pairs(left, right, n, bits, comp, percent):
+            got |= {(min(a, b), max(a, b)) for a, b in zip(p.tolist(), q.tolist())}
+        for a in left.tolist():
+            for b in (left if right is None else right).tolist():
+                shared = len(sets[a] & sets[b])
+                if a < b and comp[a] != comp[b] and 100 * shared >= percent * (n[a] + n[b] - shared):
+                    assert (a, b) in got
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components(seed, spark):
+    rng = random.Random(seed)
+    links = [(i, i + 1) for i in range(0, 60)] + [(rng.randint(100, 200), rng.randint(100, 200)) for _ in range(60)]
+    links += [(300, i) for i in range(301, 330)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r.node: r.root for r in graph.components(df).collect()}
+    assert got == {x: find(x) for x in root if any(x in e and e[0] != e[1] for e in links)}
