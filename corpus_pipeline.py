@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlytics.llm import line_dedup, line_rules
-from adlytics.llm.common import shared_folder, table
+from adlytics.llm import best_fit, line_dedup, line_rules, mixing, signature_trees
+from adlytics.llm.common import shared_folder, table, words
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -32,17 +33,52 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; documents left without any word go too."""
-    kept = line_dedup.dedup_lines(docs)
-    return _with_text(kept.where(F.rlike("kept_text", F.lit(r"[^\x20\x09-\x0D]"))), docs, "kept_text")
+    """Lines that an earlier document holds go; every document stays, a full copy empty."""
+    return _with_text(line_dedup.dedup_lines(docs), docs, "kept_text")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 0.8 of their five-word shingles the one with the smallest id stays.
+
+    Of equal rows one stays; documents without words are linked with nothing and all stay.
+    """
+    found = signature_trees.similar_documents(docs, width=5, percent=80)
+    keepers = found.where("keeper").select("doc", "row").distinct()
+    content = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.select(
+        F.struct("*").alias("__doc"),
+        F.col("doc_id").cast("bigint").alias("of_doc"),
+        F.xxhash64(F.col("doc_id").cast("bigint"), content).alias("of_row"),
+        F.size(words(content)).alias("n"),
+    )
+    same = (F.col("of_row") == F.col("row")) & F.col("of_doc").eqNullSafe(F.col("doc"))
+    worded = keyed.where("n > 0").join(keepers, same, "left_semi")
+    one_each = worded.groupBy("of_row", "of_doc").agg(F.first("__doc").alias("__doc"))
+    empty = keyed.where("n = 0").select("__doc")
+    return one_each.select("__doc").union(empty).select("__doc.*")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them: taken twice, a document comes twice; words that the
+    mix leaves out are gone."""
+    return _with_text(mixing.mixed_documents(docs), docs, "mixed_text")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences of at most 1024 tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return best_fit.pack(best_fit.token_pieces(docs, path, 2, 1024), 1024)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("line_dedup", dedup_lines),
+    ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("best_fit", pack_sequences),
 ]
 
-#: The mix draws its shards at random numbers that SQL cannot repeat.
+#: The mix draws its blocks at random numbers that SQL cannot repeat.
 ORACLE_SQL = None
 
 
