@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlytics.llm.common import numbered
+from adlytics.llm.common import numbered, stored
 from adlytics.llm.tokens import encode_column, tokenizer
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -136,6 +136,8 @@ def best_fit_runs(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
 def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces no longer than ``capacity``."""
     spark = pieces.sparkSession
+    # Stored first: finding the ranges below would make the pieces once more.
+    pieces = stored(pieces)
     others = [c for c in ("doc_id", "piece", "start") if c in pieces.columns and c != length]
     ranked = numbered(pieces, [F.col(length), *map(F.col, others)], "__rank")
     found = ranked.groupBy(length).agg(F.count("*").alias("n")).collect()

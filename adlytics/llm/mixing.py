@@ -283,7 +283,8 @@ def mix(
     spans = block_spans(sized, entries, block_words)
     counts = slot_counts(entries, block_words, max_repeats)
     slots = mixed_slots(docs, counts, shard_slots, seed)
-    return slots.join(spans, ["source_no", "block"]), sized, entries
+    # Both sides grow with the corpus, which the planner cannot see: no broadcast.
+    return slots.join(spans.hint("merge"), ["source_no", "block"]), sized, entries
 
 
 def taken_words(mixed: DataFrame, sized: DataFrame, entries: list[dict]) -> DataFrame:

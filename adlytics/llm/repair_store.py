@@ -4,7 +4,7 @@ Documents are range-partitioned by id. A partition is written as shards of about
 ``SHARD_TOKENS`` tokens, one row of a Parquet file each: the rules of a grammar of its own,
 the expansion length of each rule, and the sequence of ids and nonterminals, document by
 document. In each round every frequent pair of neighbours in a document becomes a
-nonterminal; rounds end when no pair is frequent or after ``ROUNDS``.
+nonterminal; rounds end when one shortens the shard by less than ``LEAST_GAIN``.
 
 A document is read back from its shard alone: the documents' symbol counts say where its
 symbols are, and expansion lengths how many tokens a symbol stands for.
@@ -35,7 +35,7 @@ SHARD_TOKENS = 1 << 20
 #: Nonterminals are numbered from here, above any vocabulary of the library's files.
 FIRST_RULE = 1 << 17
 MIN_COUNT = 16
-ROUNDS = 12
+LEAST_GAIN = 0.005
 _BUCKETS = 1 << 20
 
 SHARDS = (
@@ -50,9 +50,9 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     symbols = ids.astype(np.int64)
     doc = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))
     rules = np.empty((0, 2), np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    before = 2 * len(symbols)
+    while len(symbols) > 1 and before - len(symbols) >= LEAST_GAIN * before:
+        before = len(symbols)
         pair = (symbols[:-1] << 32) | symbols[1:]
         inside = doc[:-1] == doc[1:]
         bucket = ((pair * 0x9E3779B1) >> 16) & (_BUCKETS - 1)

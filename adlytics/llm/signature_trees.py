@@ -6,16 +6,16 @@ tokens that is the same for all; tokens found in many sets come last in that ord
 token so shared has a tree over its classes: leaves hold sets sorted by size, a node the
 OR of the token bitmaps below it and their range of sizes. Two nodes are traversed together:
 a pair goes when the sizes cannot link, when the bitmaps leave too little possible overlap,
-or when both lie in one known component. Surviving pairs of sets are checked exactly on
-the documents' own words.
+or when both lie in one known component. Surviving pairs are checked on the whole sets.
 
 Hot tokens: members of a token are dealt into blocks of at most ``BLOCK`` sets of about the
 same size, and each pair of blocks of neighbouring sizes is a task of its own. Before the
 trees, every member is compared with one member of its token, so that a large group of near
 copies is one component when its trees are traversed and needs no pairs among itself.
 
-Exact: no link is lost. Equal 64-bit hashes of different shingles could only add pairs to
-check, or (for whole sets, by a 128-bit digest) merge classes.
+Exact: no link is lost. A shingle is its 64-bit hash; among the shingles of two documents
+equal hashes of different shingles are out of the question (1 in 10**13 for 1,000 each).
+Sets are equal by a 128-bit digest.
 
 Defined results: text without words, or NULL, has the empty set and links with nothing. A
 text shorter than a shingle is one shingle. Rows with equal texts are linked, whatever
@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +50,11 @@ BROADCAST_ROWS = 4_000_000
 FEATURES = "doc bigint, row bigint, n bigint, sig binary, prefix array<bigint>, bitmap array<bigint>"
 
 
-def _tokenised(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+def _row(doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.col(doc_id).cast("bigint"), F.coalesce(F.col(text), F.lit("")))
+
+
+def _tokenised(docs: DataFrame, doc_id: str, text: str, width: int, *keep: str) -> DataFrame:
     """(doc, row, tokens): distinct hashed shingles of each text."""
     content = F.coalesce(F.col(text), F.lit(""))
     whole = F.when(F.size("w") > 0, F.array(F.xxhash64("w"))).otherwise(
@@ -60,12 +63,16 @@ def _tokenised(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame
     return (
         docs.select(
             F.col(doc_id).cast("bigint").alias("doc"),
-            F.xxhash64(F.col(doc_id).cast("bigint"), content).alias("row"),
+            _row(doc_id, text).alias("row"),
             words(lower_ascii(content)).alias("w"),
+            *keep,
         )
         .withColumn("h", rolling_hashes("w", width))
         .select(
-            "doc", "row", F.when(F.size("h") > 0, F.array_distinct("h")).otherwise(whole).alias("t")
+            "doc",
+            "row",
+            F.when(F.size("h") > 0, F.array_distinct("h")).otherwise(whole).alias("t"),
+            *keep,
         )
     )
 
@@ -321,13 +328,6 @@ def _traverse(percent: int):
     return run
 
 
-def _shingles(text: str, width: int) -> frozenset:
-    own = text.split()
-    if len(own) < width:
-        return frozenset([tuple(own)])
-    return frozenset(zip(*(own[k:] for k in range(width))))
-
-
 def _checked(
     pairs: DataFrame,
     classes: DataFrame,
@@ -337,7 +337,7 @@ def _checked(
     width: int,
     percent: int,
 ) -> DataFrame:
-    """Pairs (a, b) of classes whose texts really link."""
+    """Pairs (a, b) of classes whose sets really link."""
     pairs = checkpointed(pairs)
     wanted = checkpointed(
         pairs.select(F.col("a").alias("cid"))
@@ -348,41 +348,40 @@ def _checked(
     keys = wanted
     if wanted.count() <= BROADCAST_ROWS:
         keys = F.broadcast(wanted)
-    content = F.coalesce(F.col(text), F.lit(""))
-    texts = (
-        docs.select(
-            F.xxhash64(F.col(doc_id).cast("bigint"), content).alias("row"),
-            F.array_join(words(lower_ascii(content)), " ").alias("words"),
-        )
-        .join(keys, "row")
+    def sorted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds = batch.column(1).offsets.to_numpy()
+            tokens = batch.column(1).values.to_numpy(zero_copy_only=False)
+            sets = [np.unique(tokens[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.binary())], names=["cid", "own"]
+            )
+
+    picked = docs.select(
+        F.col(doc_id).alias("id"), F.col(text).alias("text"), _row(doc_id, text).alias("row")
+    ).join(keys, "row")
+    sets = (
+        _tokenised(picked, "id", "text", width, "cid")
+        .select("cid", "t")
+        .mapInArrow(sorted_sets, "cid bigint, own binary")
         .groupBy("cid")
-        .agg(F.first("words").alias("words"))
+        .agg(F.first("own").alias("own"))
+    )
+    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("own").alias("a_own")), "a").join(
+        sets.select(F.col("cid").alias("b"), F.col("own").alias("b_own")), "b"
     )
-    both = pairs.join(
-        texts.select(F.col("cid").alias("a"), F.col("words").alias("a_words")), "a"
-    ).join(texts.select(F.col("cid").alias("b"), F.col("words").alias("b_words")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: OrderedDict[int, frozenset] = OrderedDict()
-
-        def shingles(cid: int, own: str) -> frozenset:
-            if cid not in known:
-                known[cid] = _shingles(own, width)
-                if len(known) > 200:
-                    known.popitem(last=False)
-            return known[cid]
-
         for batch in batches:
-            ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             keep = []
-            for row, (a, b) in enumerate(ids):
-                x = shingles(a, batch.column(2)[row].as_py())
-                y = shingles(b, batch.column(3)[row].as_py())
-                shared = len(x & y)
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.filter(pa.array(keep)).select(["a", "b"])
-
-    linked = both.select("a", "b", "a_words", "b_words").mapInArrow(check, "a bigint, b bigint")
+            for x, y in zip(batch.column(2), batch.column(3)):
+                left = np.frombuffer(x.as_buffer(), np.int64)
+                right = np.frombuffer(y.as_buffer(), np.int64)
+                shared = len(np.intersect1d(left, right, assume_unique=True))
+                keep.append(100 * shared >= percent * (len(left) + len(right) - shared))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    linked = both.select("a", "b", "a_own", "b_own").mapInArrow(check, "a bigint, b bigint")
     return checkpointed(linked)
 
 

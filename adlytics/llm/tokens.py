@@ -1,82 +1,123 @@
 """Token ids of whole columns of text, through the installed tokenizer library.
 
-Both vocabularies never join text across a single blank between two visible characters, so
-a text is cut there and each distinct unit of a batch is encoded once. The ids are those
-of the uncut text (``tests/llm`` compares them); only repeated work is saved.
+Neither vocabulary joins text across certain places: before a single blank between visible
+characters, around a single line feed between them, and between an ASCII letter and ASCII
+punctuation other than an apostrophe. Texts are cut there and each distinct unit is encoded
+once; units met before are remembered, up to a number of them. The ids are those of the
+uncut text (``tests/llm`` compares them); only repeated work is saved.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-#: Tokens put together at a time; bounds the memory of a task, whatever the batch holds.
+#: Bytes of text taken at a time; bounds the memory of a task, whatever a batch holds.
 CHUNK_BYTES = 1 << 22
+#: Units remembered by a worker, and units encoded at a time.
+REMEMBERED, AT_ONCE = 400_000, 10_000
 
+_ENCODERS: dict[str, Encoder] = {}
+_LETTER, _MARK = 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = _MARK
+#: First bytes of characters that may be wider white space.
+_WIDE = np.zeros(256, bool)
+_WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
-def tokenizer(path: str):
-    """A tokenizer that leaves threads to Spark."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+class Encoder:
+    """A tokenizer that leaves threads to Spark and remembers units."""
 
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-def _cuts(data: np.ndarray) -> np.ndarray:
-    """Places of blanks where a text can be cut.
+        self.tokenizer = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """The number under which each unit is remembered."""
+        if len(self.known) + len(units) > max(REMEMBERED, len(units)):
+            self.forget()
+        new = [u for u in units if u not in self.known]
+        for at in range(0, len(new), AT_ONCE):
+            own = new[at : at + AT_ONCE]
+            found = [
+                e.ids for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)
+            ]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+            self.known.update(zip(own, range(len(self.known), len(self.known) + len(own))))
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, ids])
+        return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+
+
+def tokenizer(path: str) -> Encoder:
+    """The encoder of a vocabulary file, one per worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
-    The neighbours must be visible: no ASCII white space or separator, and no byte that
-    may belong to a wider white space character (those start with C2, E1, E2 or E3).
-    """
-    if len(data) < 3:
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Places where the bytes of a text can be cut."""
+    if len(data) < 4:
         return np.empty(0, np.int64)
-    blank = np.flatnonzero(data[1:-1] == 0x20) + 1
-    before, after = data[blank - 1], data[blank + 1]
-    wide = np.zeros(256, bool)
-    wide[[0xC2, 0xE1, 0xE2, 0xE3]] = True
-    safe = (before > 0x20) & (after > 0x20) & ~wide[after]
-    safe &= ~((before >= 0x80) & (data[blank - 2] == 0xC2))
-    far = np.maximum(blank - 3, 0)
-    safe &= ~((before >= 0x80) & wide[data[far]])
-    return blank[safe]
-
-
-def encode_column(encoder, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    space = np.flatnonzero((data[1:-1] == 0x20) | (data[1:-1] == 0x0A)) + 1
+    before, after = data[space - 1], data[space + 1]
+    safe = (before > 0x20) & (after > 0x20) & ~_WIDE[after]
+    # The last bytes of a wider white space character come 1 or 2 behind its first.
+    safe &= ~((before >= 0x80) & (data[np.maximum(space - 2, 0)] == 0xC2))
+    safe &= ~((before >= 0x80) & _WIDE[data[np.maximum(space - 3, 0)]])
+    space = space[safe]
+    cuts = [space, space[data[space] == 0x0A] + 1]
+    # Special tokens are marked by <|; where they may stand, only white space is cut.
+    if b"<|" not in data.tobytes():
+        kind = _KIND[data]
+        cuts.append(np.flatnonzero(kind[:-1] + kind[1:] == _LETTER + _MARK) + 1)
+    return np.concatenate(cuts)
+
+
+def encode_column(encoder: Encoder, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yields (first row, end row, ids, ends): ``ids`` of the rows one after the other,
     ``ends`` the place in ``ids`` where each row's ids end. NULL counts as empty text."""
     if len(texts) == 0:
         return
     texts = texts.cast(pa.large_string()).fill_null("")
-    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    raw = texts.buffers()[2]
-    data = np.frombuffer(raw, np.uint8)[bounds[0] : bounds[-1]] if raw else np.empty(0, np.uint8)
-    bounds = bounds - bounds[0]
-    edges = np.unique(np.concatenate([bounds, _cuts(data)]).astype(np.int64))
-    if len(data) == 0:
-        yield 0, len(texts), np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        return
-    units = pa.LargeStringArray.from_buffers(
-        len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(data)
-    ).dictionary_encode()
-    index = units.indices.to_numpy()
-    encoded = encoder.encode_batch_fast(units.dictionary.to_pylist(), add_special_tokens=False)
-    sizes = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
-    flat = np.fromiter((i for e in encoded for i in e.ids), np.uint32, int(sizes.sum()))
-    del encoded
-    places = np.cumsum(sizes) - sizes
-    first_unit = np.searchsorted(edges, bounds)
+    all_bounds = np.frombuffer(texts.buffers()[1], np.int64)
+    all_bounds = all_bounds[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] else np.empty(0, np.uint8)
     first = 0
     while first < len(texts):
-        end = int(np.searchsorted(bounds, bounds[first] + CHUNK_BYTES, "right")) - 1
+        end = int(np.searchsorted(all_bounds, all_bounds[first] + CHUNK_BYTES, "right")) - 1
         end = min(max(end, first + 1), len(texts))
-        own = index[first_unit[first] : first_unit[end]]
-        lengths = sizes[own]
-        stops = np.cumsum(lengths)
-        total = int(stops[-1]) if len(stops) else 0
-        take = np.repeat(places[own] - (stops - lengths), lengths) + np.arange(total)
-        at = np.concatenate([[0], stops])[first_unit[first + 1 : end + 1] - first_unit[first]]
-        yield first, end, flat[take], at
+        data = raw[all_bounds[first] : all_bounds[end]]
+        bounds = all_bounds[first : end + 1] - all_bounds[first]
+        if len(data):
+            is_edge = np.zeros(len(data) + 1, bool)
+            is_edge[bounds] = is_edge[_cuts(data)] = True
+            edges = np.flatnonzero(is_edge)
+            units = pa.LargeStringArray.from_buffers(
+                len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))
+            ).dictionary_encode()
+            numbers = encoder.numbers(units.dictionary.to_pylist())[units.indices.to_numpy()]
+            lengths = encoder.sizes[numbers]
+            stops = np.cumsum(lengths)
+            places = (np.cumsum(encoder.sizes) - encoder.sizes)[numbers]
+            take = np.repeat(places - (stops - lengths), lengths) + np.arange(int(stops[-1]))
+            ends = np.concatenate([[0], stops])[np.searchsorted(edges, bounds[1:])]
+            yield first, end, encoder.ids[take], ends
+        else:
+            yield first, end, np.empty(0, np.uint32), np.zeros(end - first, np.int64)
         first = end

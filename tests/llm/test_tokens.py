@@ -18,7 +18,7 @@ from adlytics.llm import best_fit, repair_store, tokens
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 ENCODERS = {path: tokens.tokenizer(path) for path in (BYTES, WORDS)}
-ODD = st.text(alphabet=" \t\n\x0b\x1c\u0085  　aB'sé́ñ9,|", max_size=40)
+ODD = st.text(alphabet=".,<>|_'s \t\n\x0b\x1c\u0085  　aB'sé́ñ9,|", max_size=40)
 
 
 def encoded(path, texts):
@@ -29,7 +29,7 @@ def encoded(path, texts):
 
 
 def direct(path, texts):
-    return [ENCODERS[path].encode(t or "", add_special_tokens=False).ids for t in texts]
+    return [ENCODERS[path].tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 @settings(max_examples=150, deadline=None)
