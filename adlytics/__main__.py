@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from adlytics.reports import REPORTS
-from adlytics.session import SETTINGS
+from adlytics.session import CLUSTER_SETTINGS, SETTINGS
 from adlytics.sources import read_tables, write_report
 
 
@@ -26,7 +26,8 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"adlytics {options.report}").getOrCreate()
     given = spark.sparkContext.getConf()
-    for key, value in SETTINGS.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in (SETTINGS if local else CLUSTER_SETTINGS).items():
         if not given.contains(key):
             spark.conf.set(key, value)
     report = REPORTS[options.report]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICROS_PER_SECOND = 1_000_000
@@ -23,9 +23,23 @@ DISTRIBUTION_HOURS = (
 DISTRIBUTION_BEYOND = "more_than_3_days"
 
 
-def click_time(raw_data: Column) -> Column:
-    """Timestamp under the key ``Click Time``; NULL when missing or not a timestamp."""
-    return F.get_json_object(raw_data, "$['Click Time']").try_cast("timestamp_ntz")
+CLICK_TIME = "click_time"
+
+
+def click_time(raw_data: Column, strict: bool = False) -> Column:
+    """Timestamp under the key ``Click Time``; NULL when missing.
+
+    One that is not a timestamp is NULL too, or an error when ``strict``.
+    """
+    found = F.get_json_object(raw_data, "$['Click Time']")
+    return found.cast("timestamp_ntz") if strict else found.try_cast("timestamp_ntz")
+
+
+def clicked(installs: DataFrame, strict: bool = False) -> Column:
+    """The click time of an install: the stored column, or else parsed from the JSON."""
+    if CLICK_TIME in installs.columns:
+        return F.col(CLICK_TIME)
+    return click_time(F.col("raw_data"), strict).alias(CLICK_TIME)
 
 
 def latency_micros(clicked: Column, installed: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY_PARTITION = "day_partition"
+CLICK_DAY_PARTITION = "click_day_partition"
 
 
 def _midnight(day: date) -> Column:
@@ -48,3 +49,20 @@ def between_days(facts: DataFrame, timestamp: str, start: date, end: date) -> Da
     return _prune(facts, start, end).where(
         F.col(timestamp).between(_midnight(start), last_second)
     )
+
+
+def since_day(facts: DataFrame, column: str, day: date) -> DataFrame:
+    """Rows of a table of dates from ``day`` on."""
+    return _prune(facts, day).where(F.col(column) >= F.lit(day))
+
+
+def between_dates(facts: DataFrame, column: str, start: date, end: date) -> DataFrame:
+    """Rows of a table of dates from ``start`` to ``end``, both included."""
+    return _prune(facts, start, end).where(F.col(column).between(F.lit(start), F.lit(end)))
+
+
+def since_click_day(installs: DataFrame, day: date) -> DataFrame:
+    """Rows stored by click day, from ``day`` on; other tables as they are."""
+    if CLICK_DAY_PARTITION not in installs.columns:
+        return installs
+    return installs.where(F.col(CLICK_DAY_PARTITION) >= F.lit(day))

@@ -29,7 +29,8 @@ def marked_up(spend: Column, markup_percent: Column) -> Column:
 def money(amount: Column) -> Column:
     """Floating amount as money, two decimals, half away from zero.
 
-    Six decimals first: 7.205 arrives as 7.20499999… or 7.205000… depending on the
-    order in which a sum was taken, and must round the same way in both cases.
+    The amount is taken at 15 significant digits and rounded once: 7.205, which is stored as
+    7.20499999999999918, rounds up, 7.2049996 does not.
     """
-    return F.round(amount.cast("decimal(38,6)"), 2)
+    digits = F.format_string("%.14e", amount).cast("decimal(38,12)")
+    return F.when(amount.isNotNull(), F.round(digits, 2))

@@ -5,12 +5,9 @@ later date of the same key. A fact takes the rows of the latest effective date n
 its own date. All rows tied on that date match, so a fact can come out more than once;
 a fact without a match is kept with NULL attributes.
 
-The lookup runs in two equality joins instead of a maximum per fact:
-
-1. Effective dates are reduced to the distinct ones of each key (at most one per
-   calendar day, whatever the number of history rows) and the start of the next version
-   is put beside each. The fact picks the one version that contains its date.
-2. The attribute rows of exactly that key and date are joined.
+The history side is prepared alone: each row gets the date its version ends on. The facts
+are then joined once, by equality on the key (a fact is compared with the versions of its
+key in the report period) or, for a history without key, on the day.
 
 Tables carry no broadcast hint. Spark broadcasts a side whose size it has checked against
 ``autoBroadcastJoinThreshold``; past that the joins are sort-merge joins whose hot keys
@@ -29,7 +26,6 @@ _FROM = "__asof_from"
 _UNTIL = "__asof_until"
 _EFFECTIVE = "__asof_effective"
 _DAY = "__asof_day"
-_LOOKUP = "__asof_lookup"
 
 
 def asof_join(
@@ -39,8 +35,8 @@ def asof_join(
     fact_date: str,
     effective: str,
     attributes: Mapping[str, str],
-    since: date | None = None,
-    until: date | None = None,
+    since: date | Column | None = None,
+    until: date | Column | None = None,
 ) -> DataFrame:
     """Left as-of join on equal keys.
 
@@ -49,36 +45,33 @@ def asof_join(
     before or after them. They drop versions no fact can use, which leaves at most one
     version per day of the period and key to choose from.
     """
-    version_keys = [f"__asof_version_key{i}" for i in range(len(keys))]
-    row_keys = [f"__asof_row_key{i}" for i in range(len(keys))]
+    row_keys = [f"__asof_key{i}" for i in range(len(keys))]
     usable = F.col(effective).isNotNull()
     for column in keys.values():
         usable = usable & F.col(column).isNotNull()
     if until is not None:
         usable = usable & (F.col(effective) <= F.lit(until))
-    known = history.where(usable)
-
-    by_key = Window.partitionBy(*version_keys).orderBy(_FROM)
-    versions = (
-        known.select(*_renamed(keys.values(), version_keys), F.col(effective).alias(_FROM))
-        .distinct()
-        .withColumn(_UNTIL, F.lead(_FROM).over(by_key))
+    # Rows tied on a date end together, on the next later date of their key.
+    later = (
+        Window.partitionBy(*row_keys)
+        .orderBy(F.unix_date(_FROM))
+        .rangeBetween(1, Window.unboundedFollowing)
     )
-    if since is not None:
-        versions = versions.where(F.col(_UNTIL).isNull() | (F.col(_UNTIL) > F.lit(since)))
-    rows = known.select(
-        *_renamed(keys.values(), row_keys),
-        F.col(effective).alias(_EFFECTIVE),
-        *_renamed(attributes.values(), attributes),
+    rows = (
+        history.where(usable)
+        .select(
+            *_renamed(keys.values(), row_keys),
+            F.col(effective).alias(_FROM),
+            *_renamed(attributes.values(), attributes),
+        )
+        .withColumn(_UNTIL, F.min(_FROM).over(later))
     )
-
+    if since is not None:
+        rows = rows.where(F.col(_UNTIL).isNull() | (F.col(_UNTIL) > F.lit(since)))
     day = F.col(fact_date)
     in_force = (F.col(_FROM) <= day) & (F.col(_UNTIL).isNull() | (day < F.col(_UNTIL)))
-    same_version = F.col(_FROM) == F.col(_EFFECTIVE)
-    return (
-        facts.join(versions, [*_equal(keys, version_keys), in_force], "left")
-        .join(rows, [*_equal(keys, row_keys), same_version], "left")
-        .drop(*version_keys, *row_keys, _FROM, _UNTIL, _EFFECTIVE)
+    return facts.join(rows, [*_equal(keys, row_keys), in_force], "left").drop(
+        *row_keys, _FROM, _UNTIL
     )
 
 
@@ -88,38 +81,40 @@ def asof_join_unkeyed(
     fact_date: str,
     effective: str,
     attributes: Mapping[str, str],
+    since: date | Column | None = None,
+    until: date | Column | None = None,
 ) -> DataFrame:
     """Left as-of join where every fact uses the same history (a user-wide default).
 
-    Without a key the range condition alone would be a nested-loop join. The versions are
-    written out as a calendar instead, one row per day from the first effective date to
-    the last, so that the fact finds its version by equality. Facts after the last
-    effective date look that date up. The calendar is bounded by the number of days
-    spanned, not by the size of either table, and so is the window that builds it; that
-    bound is why this one side is always broadcast.
+    Without a key the range condition alone would be a nested-loop join. The history is
+    written out as a calendar instead, the attributes of each day between ``since`` and
+    ``until``, so that a fact finds its rows by equality on the day. The two are promises
+    about the facts (dates, or scalar columns); left out, they are the facts' own first and
+    last day. The calendar has one row per day and tied row, whatever the history spans.
     """
+    first = F.lit(since) if since is not None else facts.agg(F.min(fact_date)).scalar()
+    last = F.lit(until) if until is not None else facts.agg(F.max(fact_date)).scalar()
     usable = history.where(F.col(effective).isNotNull())
+    # One row per distinct effective date meets here.
     by_date = Window.partitionBy(F.lit(0)).orderBy(_FROM)
     versions = (
         usable.select(F.col(effective).alias(_FROM))
         .distinct()
         .withColumn(_UNTIL, F.lead(_FROM).over(by_date))
+        .where((F.col(_FROM) <= last) & (F.col(_UNTIL).isNull() | (F.col(_UNTIL) > first)))
+    )
+    days = F.sequence(
+        F.greatest(F.col(_FROM), first), F.least(F.coalesce(F.date_sub(_UNTIL, 1), last), last)
     )
-    last_day = F.coalesce(F.date_sub(_UNTIL, 1), F.col(_FROM))
-    calendar = versions.select(_FROM, F.explode(F.sequence(_FROM, last_day)).alias(_DAY))
-    latest = usable.agg(F.max(effective)).scalar()
-
     rows = usable.select(
         F.col(effective).alias(_EFFECTIVE), *_renamed(attributes.values(), attributes)
     )
-    # NULL dates stay NULL: least() alone would skip them.
-    lookup = F.when(F.col(fact_date).isNotNull(), F.least(F.col(fact_date), latest))
-    return (
-        facts.withColumn(_LOOKUP, lookup)
-        .join(F.broadcast(calendar), F.col(_LOOKUP) == F.col(_DAY), "left")
-        .join(rows, F.col(_FROM) == F.col(_EFFECTIVE), "left")
-        .drop(_LOOKUP, _DAY, _FROM, _EFFECTIVE)
+    calendar = versions.select(_FROM, F.explode(days).alias(_DAY)).join(
+        rows, F.col(_FROM) == F.col(_EFFECTIVE)
     )
+    return facts.join(
+        calendar.select(_DAY, *attributes), F.col(fact_date) == F.col(_DAY), "left"
+    ).drop(_DAY)
 
 
 def _renamed(columns: Iterable[str], names: Iterable[str]) -> list[Column]:

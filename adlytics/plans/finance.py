@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlytics.functions import period, prices
@@ -94,26 +94,33 @@ def daily_installs(
     )
 
 
-def network_ids(facts: DataFrame, names: DataFrame, networks: DataFrame) -> DataFrame:
-    """Adds ``network_id``, the network of the fact's app, network name and country."""
-    known_names = names.select(F.col("id").alias("__name_id"), F.col("name").alias("__name"))
-    placed = networks.select(
-        F.col("id").alias("network_id"),
-        F.col("app_id").alias("__app"),
-        F.col("apps_flyer_network_name_id").alias("__network_name_id"),
-        F.col("country_id").alias("__country"),
-    )
-    return (
-        facts.join(known_names, F.col("network_name") == F.col("__name"), "inner")
-        .join(
-            placed,
-            (F.col("app_id") == F.col("__app"))
-            & (F.col("__name_id") == F.col("__network_name_id"))
-            & (F.col("country_id") == F.col("__country")),
-            "inner",
-        )
-        .drop("__name", "__name_id", "__app", "__network_name_id", "__country")
+def network_ids(
+    facts: DataFrame, names: DataFrame, networks: DataFrame, apps: DataFrame | None = None
+) -> DataFrame:
+    """Adds ``network_id``, the network of the fact's app, network name and country.
+
+    With ``apps`` it adds the app's columns, too. The dimensions are joined to each other
+    first, so that the facts are joined once.
+    """
+    known = names.select(F.col("id").alias("__name_id"), F.col("name").alias("__name")).join(
+        networks.select(
+            F.col("id").alias("network_id"),
+            F.col("app_id").alias("__app"),
+            F.col("apps_flyer_network_name_id").alias("__network_name_id"),
+            F.col("country_id").alias("__country"),
+        ),
+        F.col("__name_id") == F.col("__network_name_id"),
+        "inner",
     )
+    if apps is not None:
+        known = known.join(apps, F.col("__app") == F.col("__app_id"), "inner").drop("__app_id")
+    return facts.join(
+        known,
+        (F.col("app_id") == F.col("__app"))
+        & (F.col("network_name") == F.col("__name"))
+        & (F.col("country_id") == F.col("__country")),
+        "inner",
+    ).drop("__name", "__name_id", "__app", "__network_name_id", "__country")
 
 
 def enrich_sources(
@@ -137,9 +144,8 @@ def enrich_sources(
         F.col("apps_flyer_network_publisher_id").alias("__parent"),
         F.col("name").alias("__sub_publisher"),
     )
-    with_app = daily.join(apps, F.col("app_id") == F.col("__app_id"), "inner").drop("__app_id")
     placed = network_ids(
-        with_app, tables["apps_flyer_network_names"], tables["apps_flyer_networks"]
+        daily, tables["apps_flyer_network_names"], tables["apps_flyer_networks"], apps
     )
     with_network = asof_join(
         placed,
@@ -189,16 +195,23 @@ def with_markup(
     user_id: int,
     fact_date: str,
     since: date | None = None,
-    until: date | None = None,
+    until: date | Column | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Adds ``markup_percent`` in force on the fact's date for its ``network_id``.
 
     A mark-up of the network itself wins over the user's default (rows with no network).
+    Every pair of tied rows of both gives a row. A caller that drops duplicate rows anyway
+    says ``distinct``: equal rows of the history then count once, and the default is only
+    looked up where the network has no mark-up.
     """
-    own = mark_ups.where(F.col("user_id") == user_id)
+    own = mark_ups.where(F.col("user_id") == user_id).where(
+        F.col("apps_flyer_network_id").isNotNull()
+    )
+    columns = ("apps_flyer_network_id", "effective_date", "markup_percent")
     custom = asof_join(
         facts,
-        own.where(F.col("apps_flyer_network_id").isNotNull()),
+        own.select(*columns).distinct() if distinct else own,
         {"network_id": "apps_flyer_network_id"},
         fact_date,
         "effective_date",
@@ -206,24 +219,51 @@ def with_markup(
         since,
         until,
     )
-    both = with_default_markup(custom, mark_ups, user_id, fact_date, "__default")
+    asked = F.col(fact_date)
+    if distinct:
+        asked = F.when(F.col("__custom").isNull(), asked)
+    both = with_default_markup(
+        custom.withColumn("__asked", asked),
+        mark_ups,
+        user_id,
+        "__asked",
+        "__default",
+        since,
+        until,
+        distinct,
+    )
     markup = prices.effective_markup(F.col("__custom"), F.col("__default"))
-    return both.withColumn("markup_percent", markup).drop("__custom", "__default")
+    return both.withColumn("markup_percent", markup).drop("__custom", "__default", "__asked")
 
 
 def with_default_markup(
-    facts: DataFrame, mark_ups: DataFrame, user_id: int, fact_date: str, output: str
+    facts: DataFrame,
+    mark_ups: DataFrame,
+    user_id: int,
+    fact_date: str,
+    output: str,
+    since: date | None = None,
+    until: date | Column | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Adds the user's default mark-up in force on the fact's date."""
     default = mark_ups.where(
         (F.col("user_id") == user_id) & F.col("apps_flyer_network_id").isNull()
-    )
+    ).select("effective_date", "markup_percent")
     return asof_join_unkeyed(
-        facts, default, fact_date, "effective_date", {output: "markup_percent"}
+        facts,
+        default.distinct() if distinct else default,
+        fact_date,
+        "effective_date",
+        {output: "markup_percent"},
+        since,
+        until,
     )
 
 
-def unconverting_rows(tables: Tables, start: date, end: date, user_id: int) -> DataFrame:
+def unconverting_rows(
+    tables: Tables, start: date, end: date, user_id: int, distinct: bool = False
+) -> DataFrame:
     """Spend that brought no installs, in report columns with constant labels."""
     apps = tables["apps"].select(
         F.col("id").alias("__app_id"), F.col("name").alias("app_name"), "os"
@@ -232,12 +272,13 @@ def unconverting_rows(tables: Tables, start: date, end: date, user_id: int) -> D
         F.col("id").alias("__country"), F.col("code").alias("country_code")
     )
     spend = (
-        tables["unconverting_sources"]
-        .where(F.col("date").between(F.lit(start), F.lit(end)))
+        period.between_dates(tables["unconverting_sources"], "date", start, end)
         .join(apps, F.col("app_id") == F.col("__app_id"), "inner")
         .join(countries, F.col("country_id") == F.col("__country"), "inner")
     )
-    priced = with_default_markup(spend, tables["mark_ups"], user_id, "date", "markup_percent")
+    priced = with_default_markup(
+        spend, tables["mark_ups"], user_id, "date", "markup_percent", start, end, distinct
+    )
     label = F.lit(UNCONVERTING)
     return priced.select(
         "app_id",
@@ -259,7 +300,9 @@ def unconverting_rows(tables: Tables, start: date, end: date, user_id: int) -> D
     )
 
 
-def converting_rows(tables: Tables, start: date, end: date, user_id: int) -> DataFrame:
+def converting_rows(
+    tables: Tables, start: date, end: date, user_id: int, distinct: bool = False
+) -> DataFrame:
     """Daily installs with price and mark-up, in report columns."""
     daily = daily_installs(
         tables["apps_flyer_data"],
@@ -269,7 +312,9 @@ def converting_rows(tables: Tables, start: date, end: date, user_id: int) -> Dat
         end,
     )
     enriched = enrich_sources(daily, tables, start, end)
-    priced = with_markup(enriched, tables["mark_ups"], user_id, "install_date", start, end)
+    priced = with_markup(
+        enriched, tables["mark_ups"], user_id, "install_date", start, end, distinct
+    )
     cpi = prices.effective_cpi(
         F.col("sub_publisher_cpi"), F.col("publisher_cpi"), F.col("network_cpi")
     )
@@ -286,8 +331,8 @@ def finance_report(tables: Tables, start: date, end: date, user_id: int = 11) ->
     Only the date order is promised. The further sort columns let the range partitioning
     of the sort cut within a day; a report has few dates and would else use few tasks.
     """
-    rows = unconverting_rows(tables, start, end, user_id).union(
-        converting_rows(tables, start, end, user_id)
+    rows = unconverting_rows(tables, start, end, user_id, distinct=True).union(
+        converting_rows(tables, start, end, user_id, distinct=True)
     )
     return rows.distinct().orderBy(
         F.desc_nulls_first("install_date"), "app_id", "network_name", "country_code", "campaign"

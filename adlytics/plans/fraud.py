@@ -29,33 +29,43 @@ ORGANIC = "Organic"
 
 
 def _with_cohort(
-    installs: DataFrame, as_of: date, app_ids: Sequence[int], days: int
+    installs: DataFrame, as_of: date, app_ids: Sequence[int], days: int, strict: bool
 ) -> DataFrame:
     recent = period.since(installs, "install_time", period.days_before(as_of, days))
-    elapsed = latency.latency_micros(
-        latency.click_time(F.col("raw_data")), F.col("install_time")
-    )
-    return recent.where(F.col("app_id").isin(*app_ids)).select(
-        *SUB_PUBLISHER, latency.cohort_label(elapsed).alias("classification")
+    elapsed = latency.latency_micros(F.col("click_time"), F.col("install_time"))
+    # The click time is parsed once, then bucketed.
+    return (
+        recent.where(F.col("app_id").isin(*app_ids))
+        .select(*SUB_PUBLISHER, "install_time", latency.clicked(installs, strict))
+        .select(*SUB_PUBLISHER, latency.cohort_label(elapsed).alias("classification"))
     )
 
 
 def install_cohorts(
-    installs: DataFrame, as_of: date, app_ids: Sequence[int] = (1, 2, 3), days: int = 7
+    installs: DataFrame,
+    as_of: date,
+    app_ids: Sequence[int] = (1, 2, 3),
+    days: int = 7,
+    strict: bool = False,
 ) -> DataFrame:
     """Installs per sub-publisher and time-to-install cohort.
 
-    Cohorts include their bound; a missing click time counts as the slowest one.
+    Cohorts include their bound; a missing click time counts as the slowest one, and so does
+    one that cannot be read, unless ``strict`` makes it an error.
     """
     return (
-        _with_cohort(installs, as_of, app_ids, days)
+        _with_cohort(installs, as_of, app_ids, days, strict)
         .groupBy(*SUB_PUBLISHER, "classification")
         .agg(F.count("app_id").alias("total_installs"))
     )
 
 
 def cohort_pivot(
-    installs: DataFrame, as_of: date, app_ids: Sequence[int] = (1, 2, 3), days: int = 7
+    installs: DataFrame,
+    as_of: date,
+    app_ids: Sequence[int] = (1, 2, 3),
+    days: int = 7,
+    strict: bool = False,
 ) -> DataFrame:
     """Cohorts as columns beside the total, per sub-publisher, in one shuffle.
 
@@ -67,7 +77,7 @@ def cohort_pivot(
         known = known & F.col(column).isNotNull()
     cohorts = {label: label for label in (">120", "<120", "<30")}
     return (
-        _with_cohort(installs, as_of, app_ids, days)
+        _with_cohort(installs, as_of, app_ids, days, strict)
         .groupBy(*SUB_PUBLISHER)
         .agg(
             F.count("app_id").alias("total_installs"),
@@ -77,8 +87,11 @@ def cohort_pivot(
 
 
 def fast_install_share(pivoted: DataFrame, apps: DataFrame) -> DataFrame:
-    """Adds the share of installs within 30 seconds and the app name."""
-    named = apps.select(F.col("id").alias("__app"), "name")
+    """Adds the share of installs within 30 seconds and the app name.
+
+    An app listed more than once under one name gives one row.
+    """
+    named = apps.select(F.col("id").alias("__app"), "name").distinct()
     return (
         pivoted.join(named, F.col("app_id") == F.col("__app"), "inner")
         .drop("__app")
@@ -96,25 +109,37 @@ def click_to_install(
     as_of: date,
     days: int = 7,
     excluded_providers: Sequence[int] = EXCLUDED_PROVIDERS,
+    strict: bool = False,
 ) -> DataFrame:
     """Installs per source, country and click-to-install bucket (hours, then days).
 
-    The window is on the click time, so installs without one are left out.
+    The window is on the click time, so installs without one are left out, and so are those
+    whose click time cannot be read, unless ``strict`` makes it an error. Facts that
+    ``write_clicks`` has stored by click day are pruned to the window. Installs are
+    counted before the join; an app listed more than once under one name multiplies them.
     """
-    clicked = latency.click_time(F.col("raw_data"))
     elapsed = latency.latency_micros(F.col("click_time"), F.col("install_time"))
     recent = period.days_before(as_of, days)
     counted = (
-        installs.where(~F.col("source_provider_id").isin(*excluded_providers))
-        .select(*SUB_PUBLISHER_COUNTRY, "install_time", clicked.alias("click_time"))
+        period.since_click_day(installs, recent)
+        .where(~F.col("source_provider_id").isin(*excluded_providers))
+        .select(*SUB_PUBLISHER_COUNTRY, "install_time", latency.clicked(installs, strict))
         .where(F.col("click_time") >= F.lit(recent))
         .select(
             *SUB_PUBLISHER_COUNTRY, latency.distribution_label(elapsed).alias("classification")
         )
         .groupBy(*SUB_PUBLISHER_COUNTRY, "classification")
-        .agg(F.count("classification").alias("total_count"))
+        .agg(F.count("classification").alias("__rows"))
+    )
+    named = apps.groupBy(F.col("id").alias("__app"), "name").agg(
+        F.count(F.lit(1)).alias("__copies")
+    )
+    return counted.join(named, F.col("app_id") == F.col("__app"), "inner").select(
+        "name",
+        *SUB_PUBLISHER_COUNTRY,
+        "classification",
+        (F.col("__rows") * F.col("__copies")).alias("total_count"),
     )
-    return _with_app_name(counted, apps)
 
 
 def duplicate_ip_sources(
@@ -204,9 +229,9 @@ def aggregated_no_events(
     """
     is_install = F.col("event_name") == "installs"
     totals = (
-        daily_events.where(
-            (F.col("date") >= F.lit(period.days_before(as_of, days)))
-            & ~F.col("event_name").isin(*NON_EVENT_NAMES)
+        period.since_day(daily_events, "date", period.days_before(as_of, days))
+        .where(
+            ~F.col("event_name").isin(*NON_EVENT_NAMES)
             & ~F.col("media_source").isin(*excluded_sources)
         )
         .groupBy(*EXPORT_SOURCE)

@@ -20,9 +20,9 @@ def event_rollup(daily_events: DataFrame, spec: FunnelSpec) -> DataFrame:
     network = ["media_source"] if spec.by_network else []
     first_day = period.days_before(spec.as_of, spec.lookback_days)
     return (
-        daily_events.where(
+        period.since_day(daily_events, "date", first_day)
+        .where(
             F.col("app_id").isin(*spec.app_ids)
-            & (F.col("date") >= F.lit(first_day))
             & F.col("event_name").isin(*spec.event_columns)
             & F.col("country_code").isin(*spec.country_codes)
         )
@@ -55,12 +55,11 @@ def markup_spend(tables: Tables, spec: FunnelSpec) -> DataFrame:
     label = classify.network_campaign_type(
         F.col("network_type"), F.col("network_publisher"), F.col("network_sub_publisher")
     )
+    export = tables["bime_export_installs"]
+    last_day = export.agg(F.max("install_date")).scalar()
     sums = (
-        tables["bime_export_installs"]
-        .where(
-            (F.col("install_date") >= F.lit(spec.installs_since))
-            & F.col("app_id").isin(*spec.app_ids)
-        )
+        period.since_day(export, "install_date", spec.installs_since)
+        .where(F.col("app_id").isin(*spec.app_ids))
         .withColumn("campaign_type", label)
         .groupBy(*grain, "network_name", "country_id")
         .agg(F.sum("installs").alias("__installs"), F.sum("spend").alias("__spend"))
@@ -69,7 +68,12 @@ def markup_spend(tables: Tables, spec: FunnelSpec) -> DataFrame:
         sums, tables["apps_flyer_network_names"], tables["apps_flyer_networks"]
     )
     priced = with_markup(
-        placed, tables["mark_ups"], spec.markup_user_id, "install_date", spec.installs_since
+        placed,
+        tables["mark_ups"],
+        spec.markup_user_id,
+        "install_date",
+        spec.installs_since,
+        last_day,
     )
     marked_up = prices.marked_up(F.col("__spend"), F.col("markup_percent"))
     return (

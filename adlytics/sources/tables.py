@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlytics.functions.period import DAY_PARTITION
+from adlytics.functions.latency import CLICK_TIME, clicked
+from adlytics.functions.period import CLICK_DAY_PARTITION, DAY_PARTITION
 from adlytics.sources.schemas import SCHEMAS
 
 
@@ -34,22 +35,37 @@ def read_tables(
     }
 
 
-def write_fact(facts: DataFrame, path: str, timestamp: str, files_per_day: int = 1) -> None:
+def write_fact(facts: DataFrame, path: str, timestamp: str) -> None:
     """Writes a fact table as Parquet, partitioned by the day of ``timestamp``.
 
-    Rows of a day are spread over ``files_per_day`` tasks, so that a day holding much of
-    the table is not written by one of them.
+    Rows are brought together by day and in pieces of about the advisory partition size,
+    so that a day holding much of the table is written by several tasks.
     """
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(files_per_day))
     (
         facts.withColumn(DAY_PARTITION, F.to_date(timestamp))
-        .repartition(F.col(DAY_PARTITION), spread)
+        .hint("rebalance", DAY_PARTITION)
         .write.mode("error")
         .partitionBy(DAY_PARTITION)
         .parquet(path)
     )
 
 
+def write_clicks(installs: DataFrame, path: str, strict: bool = False) -> None:
+    """Writes installs with their click time as a column, partitioned by the click's day.
+
+    The click-to-install report then reads the days of its window instead of all history.
+    Installs without a click time are in a partition of their own.
+    """
+    (
+        installs.withColumn(CLICK_TIME, clicked(installs, strict))
+        .withColumn(CLICK_DAY_PARTITION, F.to_date(CLICK_TIME))
+        .hint("rebalance", CLICK_DAY_PARTITION)
+        .write.mode("error")
+        .partitionBy(CLICK_DAY_PARTITION)
+        .parquet(path)
+    )
+
+
 def write_report(report: DataFrame, path: str, target_format: str = "parquet") -> None:
     """Writes a report; an existing one is left alone and raises."""
     report.write.mode("error").format(target_format).save(path)

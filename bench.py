@@ -80,7 +80,8 @@ def main() -> None:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
-    with tempfile.TemporaryDirectory(prefix="bench-") as root:
+    # On a cluster, a folder all executors see.
+    with tempfile.TemporaryDirectory(prefix="bench-", dir=os.environ.get("BENCH_ROOT")) as root:
         start = time.perf_counter()
         store(spark, sf_dir, root)
         setup = time.perf_counter() - start

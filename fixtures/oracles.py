@@ -356,11 +356,10 @@ def _spend_sql(by_network: bool, user: int) -> str:
         SELECT i.app_id, i.app_name, {'i.network_name,' if by_network else ''}
                i.country_code, i.install_date, i.os, {_NETWORK_TYPE_SQL} AS campaign_type,
                'media buy' AS media, sum(i.installs) AS installs,
-               round(CAST(sum(i.spend * (1 + CAST(CASE WHEN cm.markup_percent IS NOT NULL
-                                                       THEN cm.markup_percent
-                                                       ELSE dm.markup_percent END
-                                                  AS DOUBLE) / 100))
-                          AS DECIMAL(38, 6)), 2) AS spend
+               round(CAST(printf('%.14e', sum(i.spend * (1 + CAST(
+                              CASE WHEN cm.markup_percent IS NOT NULL THEN cm.markup_percent
+                                   ELSE dm.markup_percent END AS DOUBLE) / 100)))
+                          AS DECIMAL(38, 12)), 2) AS spend
         FROM bime_export_installs i
         JOIN apps_flyer_network_names names ON names.name = i.network_name
         JOIN apps_flyer_networks n ON n.app_id = i.app_id AND n.country_id = i.country_id

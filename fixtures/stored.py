@@ -7,7 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from adlytics.sources import SCHEMAS, read_tables, write_fact
 from fixtures.spark_tables import FixtureTables
 
-_PARTITIONED = {"apps_flyer_data": "install_time", "apps_flyer_events": "install_time"}
+_PARTITIONED = {
+    "apps_flyer_data": "install_time",
+    "apps_flyer_events": "install_time",
+    "bime_export_aggregated_events": "date",
+    "bime_export_installs": "install_date",
+    "unconverting_sources": "date",
+}
 
 
 class StoredTables(FixtureTables):
@@ -22,7 +28,7 @@ class StoredTables(FixtureTables):
 
 
 def store(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Writes all fixture tables below ``root``, the install facts partitioned by day."""
+    """Writes all fixture tables below ``root``, the facts partitioned by day."""
     tables = FixtureTables(spark, sf_dir)
     for name, schema in SCHEMAS.items():
         path = f"{root}/{name}"

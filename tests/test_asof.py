@@ -93,7 +93,7 @@ def test_keyed_equals_brute_force_without_broadcast(spark, sort_merge):
     )
     assert rows(result) == brute_force(facts, history)
     text = plan(result)
-    assert text.count("SortMergeJoin") == 2
+    assert text.count("SortMergeJoin") == 1
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
@@ -145,3 +145,24 @@ def test_two_keys(spark):
         facts, history, {"key": "owner", "part": "piece"}, "day", "eff", {"out": "value"}
     )
     assert rows(result, "fact", "out") == [(1, 10), (2, 20), (3, None)]
+
+
+@pytest.mark.parametrize("bounds", [{}, {"since": jan(3), "until": jan(9)}])
+def test_sentinel_dates_do_not_stretch_the_calendar(spark, sort_merge, bounds):
+    history = [(None, date(1, 1, 1), 1), (None, jan(5), 2), (None, jan(5), 3)]
+    history += [(None, date(9999, 12, 31), 4)]
+    facts = [(1, 1, jan(3)), (2, 1, jan(5)), (3, 1, jan(9)), (4, 1, None)]
+    result = asof_join_unkeyed(
+        spark.createDataFrame(facts, FACTS),
+        spark.createDataFrame(history, HISTORY),
+        "day",
+        "eff",
+        {"value": "value"},
+        **bounds,
+    )
+    assert rows(result) == brute_force(facts, history, by_key=False)
+    text = plan(result)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    if bounds:
+        # The facts cross the network once, by day.
+        assert text.count("hashpartitioning(day") == 1

@@ -230,3 +230,21 @@ def test_report_without_broadcasts(make, sort_merge):
     assert rows(report, "install_date", "spend", "markup_percent") == [
         (jan(3), 1.0, 1.0), (jan(8), 8.0, 20.0),
     ]
+
+
+@pytest.mark.parametrize(
+    "amount, expected",
+    [
+        (7.2049996, "7.20"),
+        (1234567.2049999, "1234567.20"),
+        (7.204999999999999, "7.21"),
+        (7.205, "7.21"),
+        (-7.205, "-7.21"),
+        (None, None),
+        (0.0, "0.00"),
+    ],
+)
+def test_money_is_rounded_once_at_fifteen_digits(spark, amount, expected):
+    df = spark.createDataFrame([(amount,)], "x double")
+    found = df.select(prices.money(F.col("x")).cast("string").alias("m")).first().m
+    assert found == expected

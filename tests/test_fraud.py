@@ -7,7 +7,7 @@ import pytest
 from conftest import plan, rows
 
 from adlytics.plans import fraud
-from adlytics.sources import SCHEMAS
+from adlytics.sources import SCHEMAS, write_clicks, write_fact
 
 AS_OF = date(2024, 1, 31)
 NOON = datetime(2024, 1, 30, 12)
@@ -290,3 +290,48 @@ class TestAggregatedNoEvents:
     def test_one_shuffle(self, spark):
         text = plan(fraud.aggregated_no_events(self.daily(spark, {}), AS_OF))
         assert text.count("Exchange") == 1
+
+
+class TestStoredClicks:
+    def table(self, spark):
+        return installs(
+            spark,
+            {"raw_data": clicked(minutes=5)},
+            {"raw_data": clicked(days=40)},
+            {"raw_data": None},
+            {"raw_data": '{"Click Time": "soon"}'},
+        )
+
+    def test_same_rows_and_days_pruned(self, spark, apps, tmp_path):
+        df = self.table(spark)
+        write_clicks(df, f"{tmp_path}/clicks")
+        stored = spark.read.parquet(f"{tmp_path}/clicks")
+        plain = fraud.click_to_install(df, apps, AS_OF)
+        pruned = fraud.click_to_install(stored, apps, AS_OF)
+        assert rows(plain) == rows(pruned) and plain.count() == 1
+        assert "click_day_partition#" in plan(pruned).split("PartitionFilters")[1].split("]")[0]
+        assert rows(fraud.cohort_pivot(df, AS_OF)) == rows(fraud.cohort_pivot(stored, AS_OF))
+
+    def test_strict_click_times(self, spark, apps):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            fraud.click_to_install(self.table(spark), apps, AS_OF, strict=True).collect()
+
+    def test_repeated_apps_multiply_counts_but_not_shares(self, spark):
+        df = self.table(spark)
+        twice = spark.createDataFrame(
+            [(1, "one", "ios"), (1, "one", "web"), (1, "uno", "ios")], SCHEMAS["apps"]
+        )
+        counts = fraud.click_to_install(df, twice, AS_OF)
+        assert rows(counts, "name", "total_count") == [("one", 2), ("uno", 1)]
+        shares = fraud.fast_install_share(fraud.cohort_pivot(df, AS_OF), twice)
+        assert rows(shares, "name", "total_installs") == [("one", 4), ("uno", 4)]
+
+
+def test_export_screen_prunes_days(spark, tmp_path):
+    schema = SCHEMAS["bime_export_aggregated_events"]
+    row = (date(2024, 1, 30), 1, "one", "US", "ios", "net", "c", "installs", 7)
+    daily = spark.createDataFrame([(*row[:8], Decimal(7))], schema)
+    write_fact(daily, f"{tmp_path}/daily", "date")
+    stored = spark.read.schema(f"{schema}, day_partition date").parquet(f"{tmp_path}/daily")
+    text = plan(fraud.aggregated_no_events(stored, AS_OF))
+    assert "day_partition#" in text.split("PartitionFilters")[1].split("]")[0]

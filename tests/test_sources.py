@@ -22,7 +22,7 @@ def events(spark):
 
 @pytest.fixture
 def stored(spark, tmp_path):
-    write_fact(events(spark), f"{tmp_path}/apps_flyer_events", "install_time", files_per_day=2)
+    write_fact(events(spark), f"{tmp_path}/apps_flyer_events", "install_time")
     return read_tables(
         spark, str(tmp_path), ["apps_flyer_events"], partitioned=["apps_flyer_events"]
     )["apps_flyer_events"]
@@ -84,3 +84,17 @@ def test_every_report_runs_on_stored_empty_tables(spark, tmp_path):
     tables = read_tables(spark, str(tmp_path))
     report = finance.finance_report(tables, date(2024, 1, 1), date(2024, 1, 9))
     assert rows(report) == []
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        hot = spark.range(60_000).selectExpr(
+            "id app_id", "'US' country_code", "uuid() network_name", "uuid() network_publisher",
+            "uuid() network_sub_publisher", "timestamp_ntz'2024-01-02 12:00:00' install_time",
+        )
+        write_fact(hot, f"{tmp_path}/hot", "install_time")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(list((tmp_path / "hot" / "day_partition=2024-01-02").glob("*.parquet"))) > 3
