@@ -328,7 +328,33 @@ def _traverse(percent: int):
     return run
 
 
-def _checked(
+def _wide(own: np.ndarray) -> bytes:
+    """Size and bitmap of a set, with at least eight bits for each token."""
+    width = 1 << max(0, (8 * len(own) - 1).bit_length() - 6)
+    bit = (own.view(np.uint64) >> np.uint64(7)) % np.uint64(64 * width)
+    bits = np.zeros(width * 8, np.uint8)
+    at = (bit >> np.uint64(3)).astype(np.int64)
+    np.bitwise_or.at(bits, at, np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+    return np.int64(len(own)).tobytes() + bits.tobytes()
+
+
+def _wide_may_link(x: pa.Buffer, y: pa.Buffer, percent: int) -> bool:
+    n, m = (int(np.frombuffer(b, np.int64, 1)[0]) for b in (x, y))
+    a, b = np.frombuffer(x, np.uint64, offset=8), np.frombuffer(y, np.uint64, offset=8)
+    width = min(len(a), len(b))
+    # A bitmap twice as wide folds onto the narrower one.
+    a, b = (np.bitwise_or.reduce(z.reshape(-1, width), axis=0) for z in (a, b))
+    only_a, only_b = int(np.bitwise_count(a & ~b).sum()), int(np.bitwise_count(b & ~a).sum())
+    return (100 + percent) * min(n - only_a, m - only_b) >= percent * (n + m)
+
+
+def _links(x: pa.Buffer, y: pa.Buffer, percent: int) -> bool:
+    left, right = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * shared >= percent * (len(left) + len(right) - shared)
+
+
+def _compared(
     pairs: DataFrame,
     classes: DataFrame,
     docs: DataFrame,
@@ -336,9 +362,12 @@ def _checked(
     text: str,
     width: int,
     percent: int,
+    whole: bool,
 ) -> DataFrame:
-    """Pairs (a, b) of classes whose sets really link."""
-    pairs = checkpointed(pairs)
+    """Pairs (a, b) of classes that may link by wide bitmaps or, if ``whole``, do link.
+
+    Sets are made anew from the texts of the classes asked for.
+    """
     wanted = checkpointed(
         pairs.select(F.col("a").alias("cid"))
         .union(pairs.select("b"))
@@ -348,13 +377,15 @@ def _checked(
     keys = wanted
     if wanted.count() <= BROADCAST_ROWS:
         keys = F.broadcast(wanted)
-    def sorted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bounds = batch.column(1).offsets.to_numpy()
             tokens = batch.column(1).values.to_numpy(zero_copy_only=False)
-            sets = [np.unique(tokens[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+            sets = (np.unique(tokens[a:b]) for a, b in zip(bounds[:-1], bounds[1:]))
+            own = [own.tobytes() if whole else _wide(own) for own in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], names=["cid", "own"]
+                [batch.column(0), pa.array(own, pa.binary())], names=["cid", "own"]
             )
 
     picked = docs.select(
@@ -363,7 +394,7 @@ def _checked(
     sets = (
         _tokenised(picked, "id", "text", width, "cid")
         .select("cid", "t")
-        .mapInArrow(sorted_sets, "cid bigint, own binary")
+        .mapInArrow(describe, "cid bigint, own binary")
         .groupBy("cid")
         .agg(F.first("own").alias("own"))
     )
@@ -372,17 +403,22 @@ def _checked(
     )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = _links if whole else _wide_may_link
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                left = np.frombuffer(x.as_buffer(), np.int64)
-                right = np.frombuffer(y.as_buffer(), np.int64)
-                shared = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(left) + len(right) - shared))
+            own = zip(batch.column(2), batch.column(3))
+            keep = [test(x.as_buffer(), y.as_buffer(), percent) for x, y in own]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    linked = both.select("a", "b", "a_own", "b_own").mapInArrow(check, "a bigint, b bigint")
-    return checkpointed(linked)
+    found = both.select("a", "b", "a_own", "b_own").mapInArrow(check, "a bigint, b bigint")
+    return checkpointed(found)
+
+
+def _checked(pairs: DataFrame, *how) -> DataFrame:
+    """Pairs (a, b) of classes whose sets really link.
+
+    Wide bitmaps, an eighth of the sets' size, come first: few pairs are left for the sets.
+    """
+    return _compared(_compared(checkpointed(pairs), *how, False), *how, True)
 
 
 def _tasks(members: DataFrame, percent: int) -> DataFrame:

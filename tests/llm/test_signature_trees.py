@@ -134,3 +134,21 @@ def test_components(seed, spark):
     df = spark.createDataFrame(links, "a long, b long")
     got = {r.node: r.root for r in graph.components(df).collect()}
     assert got == {x: find(x) for x in root if any(x in e and e[0] != e[1] for e in links)}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_wide_bitmaps_never_lose_a_link(seed):
+    rng = np.random.default_rng(seed)
+    n, drop = int(rng.integers(1, 3000)), int(rng.integers(0, 40))
+    own = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, n))
+    other = np.unique(np.concatenate([own[drop:], rng.integers(-(1 << 63), (1 << 63) - 1, drop)]))
+    unlike = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, n))
+    for percent in (80, 90):
+        for a, b in ((own, other), (own, unlike), (own, own)):
+            if not len(b):
+                continue
+            links = signature_trees._links(a.tobytes(), b.tobytes(), percent)
+            wide = [signature_trees._wide(x) for x in (a, b)]
+            assert signature_trees._wide_may_link(*wide, percent) or not links
+            if n > 50 and b is unlike:
+                assert not signature_trees._wide_may_link(*wide, percent)
