@@ -339,19 +339,35 @@ _SPEND_TABLES = (
 )
 
 
-def _rollup_sql(by_network: bool) -> str:
+_WIDE_SCOPE = {
+    "apps": "1, 2, 3",
+    "days": "93",
+    "countries": "country_code LIKE 'REGION__'",
+    "since": "2024-01-01",
+}
+# Each of these filters drops rows of the fixtures.
+_NARROW_SCOPE = {
+    "apps": "1, 2",
+    "days": "20",
+    "countries": "country_code IN ('REGION_0', 'REGION_2', 'REGION_3')",
+    "since": "2024-01-16",
+}
+
+
+def _rollup_sql(by_network: bool, scope: dict[str, str] = _WIDE_SCOPE) -> str:
     return f"""
         SELECT date, app_id, app_name, {'media_source,' if by_network else ''} country_code,
                os, {_MEDIA_SQL} AS media, {_TYPE_SQL} AS campaign_type, event_name,
                sum(count) AS totals
         FROM bime_export_aggregated_events
-        WHERE app_id IN (1, 2, 3) AND date >= DATE '2024-01-31' - INTERVAL 93 DAY
-          AND event_name IN ({_EVENT_NAMES}) AND country_code LIKE 'REGION__'
+        WHERE app_id IN ({scope['apps']})
+          AND date >= DATE '2024-01-31' - INTERVAL {scope['days']} DAY
+          AND event_name IN ({_EVENT_NAMES}) AND {scope['countries']}
         GROUP BY ALL
     """
 
 
-def _spend_sql(by_network: bool, user: int) -> str:
+def _spend_sql(by_network: bool, user: int, scope: dict[str, str] = _WIDE_SCOPE) -> str:
     return f"""
         SELECT i.app_id, i.app_name, {'i.network_name,' if by_network else ''}
                i.country_code, i.install_date, i.os, {_NETWORK_TYPE_SQL} AS campaign_type,
@@ -366,7 +382,7 @@ def _spend_sql(by_network: bool, user: int) -> str:
                                   AND n.apps_flyer_network_name_id = names.id
         {_asof('cm', 'mark_ups', 'apps_flyer_network_id', 'n.id', 'i.install_date', user)}
         {_default_markup('dm', 'i.install_date', user)}
-        WHERE i.install_date >= DATE '2024-01-01' AND i.app_id IN (1, 2, 3)
+        WHERE i.install_date >= DATE '{scope['since']}' AND i.app_id IN ({scope['apps']})
         GROUP BY ALL
     """
 
@@ -400,10 +416,10 @@ def _wide_sql(by_network: bool) -> str:
     """
 
 
-def _funnel_stages(by_network: bool) -> dict[str, str]:
+def _funnel_stages(by_network: bool, scope: dict[str, str] = _WIDE_SCOPE) -> dict[str, str]:
     return {
-        "rollup_rows": _rollup_sql(by_network),
-        "spend_rows": _spend_sql(by_network, 40 if by_network else 36),
+        "rollup_rows": _rollup_sql(by_network, scope),
+        "spend_rows": _spend_sql(by_network, 40 if by_network else 36, scope),
         "long_rows": _funnel_sql(by_network),
         "wide_rows": _wide_sql(by_network),
     }
@@ -439,7 +455,7 @@ def _spend(by_network: bool) -> str:
     )
 
 
-def _long(by_network: bool) -> str:
+def _long(by_network: bool, scope: dict[str, str] = _WIDE_SCOPE) -> str:
     extra = {"media_source": _V} if by_network else {}
     return with_tables(
         _comparable(
@@ -453,7 +469,7 @@ def _long(by_network: bool) -> str:
         ),
         "bime_export_aggregated_events",
         *_SPEND_TABLES,
-        **_funnel_stages(by_network),
+        **_funnel_stages(by_network, scope),
     )
 
 
@@ -632,6 +648,8 @@ ORACLES: dict[str, str] = {
     "u20_markup_spend": _spend(False),
     "u20_markup_spend_by_network": _spend(True),
     "u21_funnel": _long(False),
+    "u21_funnel_narrowed": _long(False, _NARROW_SCOPE),
+    "u22_funnel_by_network_narrowed": _long(True, _NARROW_SCOPE),
     "u22_funnel_by_network": _long(True),
     "u23_funnel_wide": _wide(False),
     "u24_funnel_wide_by_network": _wide(True),

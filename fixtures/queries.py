@@ -7,6 +7,8 @@ lowered to fit the data) and, as ``…_month``, over every day the tables hold.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,12 @@ BY_NETWORK = FunnelSpec(
     installs_since=FIRST_DAY,
     by_network=True,
 )
+NARROWED = {
+    "app_ids": (1, 2),
+    "country_codes": ("REGION_0", "REGION_2", "REGION_3"),
+    "installs_since": date(2024, 1, 16),
+    "lookback_days": 20,
+}
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -274,6 +282,10 @@ BUILDERS: dict[str, Callable[[FixtureTables], DataFrame]] = {
     "u20_markup_spend": lambda t: funnel.markup_spend(t, BY_MEDIA),
     "u20_markup_spend_by_network": lambda t: funnel.markup_spend(t, BY_NETWORK),
     "u21_funnel": lambda t: funnel.funnel_report(t, BY_MEDIA),
+    "u21_funnel_narrowed": lambda t: funnel.funnel_report(t, replace(BY_MEDIA, **NARROWED)),
+    "u22_funnel_by_network_narrowed": lambda t: funnel.funnel_report(
+        t, replace(BY_NETWORK, **NARROWED)
+    ),
     "u22_funnel_by_network": lambda t: funnel.funnel_report(t, BY_NETWORK),
     "u23_funnel_wide": lambda t: funnel.funnel_wide_report(t, BY_MEDIA),
     "u24_funnel_wide_by_network": lambda t: funnel.funnel_wide_report(t, BY_NETWORK),

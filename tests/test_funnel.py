@@ -323,3 +323,17 @@ def test_published_specs():
     spec = fitness_funnel(AS_OF)
     assert spec.by_network and spec.event_columns["created account (Unique users)"] == "event_1"
     assert len(spec.event_columns) == 11
+
+
+def test_each_filter_of_the_narrowed_funnel_drops_rows(spark):
+    from dataclasses import replace
+
+    from adlytics.plans import funnel as plans
+    from fixtures.queries import BY_MEDIA, NARROWED
+    from fixtures.spark_tables import FixtureTables
+
+    tables = FixtureTables(spark, "/root/testdata/sf0.001")
+    narrow = rows(plans.funnel(tables, replace(BY_MEDIA, **NARROWED)))
+    for name in NARROWED:
+        rest = {k: v for k, v in NARROWED.items() if k != name}
+        assert rows(plans.funnel(tables, replace(BY_MEDIA, **rest))) != narrow, name
