@@ -19,7 +19,7 @@ import pyarrow as pa
 #: Bytes of text taken at a time; bounds the memory of a task, whatever a batch holds.
 CHUNK_BYTES = 1 << 22
 #: Units remembered by a worker, and units encoded at a time.
-REMEMBERED, AT_ONCE = 400_000, 10_000
+REMEMBERED, AT_ONCE = 200_000, 10_000
 
 _ENCODERS: dict[str, Encoder] = {}
 _LETTER, _MARK = 1, 2
