@@ -28,8 +28,8 @@ def _with_text(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; those kept lose their failed lines."""
-    judged = line_rules.clean_lines(docs)
-    return _with_text(judged.where("kept"), docs, "cleaned")
+    kept = line_rules.kept_documents(line_rules.clean_lines(docs))
+    return _with_text(kept, docs, "cleaned")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
