@@ -97,24 +97,29 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 
 def _distances(replies: DataFrame) -> DataFrame:
-    """(m, depth): hops to the first message, doubling along (m, parent)."""
+    """(m, depth): hops to the first message, doubling along (m, parent).
+
+    A message whose chain has reached its end takes no part in further rounds.
+    """
     hops = checkpointed(
         replies.select(
             "m", F.col("parent").alias("up"), F.col("parent").isNotNull().cast("bigint").alias("depth")
         )
     )
-    while hops.where(F.col("up").isNotNull()).limit(1).count():
-        above = hops.select(
+    ended = hops.where(F.col("up").isNull())
+    running = hops.where(F.col("up").isNotNull())
+    while running.limit(1).count():
+        above = running.union(ended).select(
             F.col("m").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more")
         )
         hops = checkpointed(
-            hops.join(above, "up", "left").select(
-                "m",
-                F.col("further").alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            running.join(above, "up").select(
+                "m", F.col("further").alias("up"), (F.col("depth") + F.col("more")).alias("depth")
             )
         )
-    return hops.select("m", "depth")
+        ended = ended.union(hops.where(F.col("up").isNull()))
+        running = hops.where(F.col("up").isNotNull())
+    return ended.select("m", "depth")
 
 
 def link_quotes(
