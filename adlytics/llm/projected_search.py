@@ -4,15 +4,19 @@ A vector is projected by ``PROJECTIONS`` Gaussian directions, which are 2-stable
 projected distance of two vectors is their squared distance times a chi-square variable. A
 query meets the others in ascending projected distance and compares them exactly; it stops
 at the projected distance r where a vector nearer than the worst neighbour so far (at
-distance d) would, with probability ``CONFIDENCE``, have been met: chi-square(r² / d²) >=
-``CONFIDENCE``.
+distance d) would, with probability ``CONFIDENCE``, have been met: chi-square(r² / d²) >
+``CONFIDENCE``. What lies exactly at r is still met.
 
 Spread over the cluster: the projected space is cut into cells by a kd-tree fitted on a
 bounded sample (at most about ``SAMPLE_ROWS`` rows; every vector is indexed). A cell's
-vectors form blocks of at most about ``BLOCK_ROWS``; a cell that cannot be cut, such as one
-vector with many copies, is dealt into blocks by id. Each block has a kd-tree of its own.
-A query first searches its own cell; its worst distance so far then names, by the same
-test, the blocks it still has to visit. Queries of one block are dealt into groups too.
+vectors form blocks of at most about ``BLOCK_ROWS``; a cell that cannot be cut is dealt into
+blocks by vector. Each block has a kd-tree of its own. A query first searches its own cell;
+its worst distance so far then names, by the same test, the blocks it still has to visit.
+Queries of one block are dealt into groups too.
+
+Copies: every row is a query, but of equal vectors only the k + 1 smallest ids are searched,
+as no query can have another one among its k. Equal vectors have equal projections, so they
+share cell and block and are met together.
 
 Defined results: a vector that is NULL, zero, or holds a NULL, NaN or infinite component
 takes no part, nor does a row without id. Vectors of different lengths never meet. Equal
@@ -39,6 +43,8 @@ BLOCK_ROWS = 16_384
 LEAF_ROWS = 64
 QUERY_ROWS = 4_096
 SEED = 11
+#: Copies of one vector are first ranked in so many portions.
+PORTIONS = 64
 
 ROWS = "vec_id bigint, dim int, embedding array<double>, projected array<double>, cell int"
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -65,6 +71,14 @@ def directions(dim: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim]).standard_normal((dim, PROJECTIONS))
 
 
+def project_rows(vectors: np.ndarray) -> np.ndarray:
+    """The same bits for equal vectors in any batch, which a matrix product does not promise."""
+    points = np.zeros((len(vectors), PROJECTIONS))
+    for values, direction in zip(vectors.T, directions(vectors.shape[1])):
+        points += values[:, None] * direction
+    return points
+
+
 def kd_splits(points: np.ndarray, cells: int) -> list[tuple[int, float]]:
     """A complete kd-tree of ``cells`` (a power of two) cells as splits in heap order."""
     splits: list[tuple[int, float]] = []
@@ -120,7 +134,7 @@ class BlockTree:
         self.high = np.array([projected[rows].max(axis=0) for rows in leaves])
 
     def nearest_first(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """(squared projected distance from which on rows are unseen, rows met up to there)."""
+        """(squared projected distance from which on rows are unseen, rows met before it)."""
         gap = np.maximum(np.maximum(self.low - point, point - self.high), 0.0)
         reach = (gap * gap).sum(axis=1)
         order = np.argsort(reach, kind="stable")
@@ -130,7 +144,8 @@ class BlockTree:
             away = ((self.projected[own] - point) ** 2).sum(axis=1)
             rows, far = np.concatenate([rows, own]), np.concatenate([far, away])
             limit = float(reach[order[k + 1]]) if k + 1 < len(order) else math.inf
-            met = far <= limit
+            # Rows at the limit wait for the others there: copies are met together.
+            met = far < limit if limit < math.inf else np.ones(len(far), bool)
             yield limit, rows[met]
             rows, far = rows[~met], far[~met]
 
@@ -153,7 +168,7 @@ def search_block(
         bound, before = known, 0.0
         for limit, rows in tree.nearest_first(point):
             # Everything still unseen is at least ``before`` away in the projection.
-            if before >= stop * bound * bound and bound < math.inf:
+            if before > stop * bound * bound and bound < math.inf:
                 break
             rows = rows[ids[rows] != query_id]
             if len(rows):
@@ -186,7 +201,7 @@ def _projected(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
             dims = batch.column(1).to_numpy()
             for dim in np.unique(dims):
                 own = batch.filter(pa.array(dims == dim))
-                points = _matrix(own.column(2), int(dim)) @ directions(int(dim))
+                points = project_rows(_matrix(own.column(2), int(dim)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         own.column(0),
@@ -202,6 +217,35 @@ def _projected(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     )
 
 
+def _first_copies(points: DataFrame, k: int) -> DataFrame:
+    """Of equal vectors the rows with the ``k`` + 1 smallest ids."""
+    from pyspark.sql import Window
+
+    same = ["same", "also"]
+    marked = points.withColumns(
+        {"same": F.xxhash64("embedding"), "also": F.xxhash64(F.lit(1), "embedding")}
+    )
+    ids = marked.select(*same, "vec_id")
+
+    def least(ids: DataFrame, *by: str) -> DataFrame:
+        order = Window.partitionBy(*by).orderBy("vec_id")
+        return ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+
+    many = stored(ids.groupBy(same).agg(F.count("*").alias("n")).where(F.col("n") > k + 1))
+    if many.isEmpty():
+        return points
+    dealt = ids.join(many, same, "left_semi").withColumn(
+        "portion", F.pmod(F.xxhash64("vec_id"), F.lit(PORTIONS))
+    )
+    last = stored(
+        least(least(dealt, *same, "portion"), *same)
+        .where(F.col("place") == k + 1)
+        .select(*same, F.col("vec_id").alias("last"))
+    )
+    first = F.col("last").isNull() | (F.col("vec_id") <= F.col("last"))
+    return stored(marked.join(last, same, "left").where(first).select(points.columns))
+
+
 def _cells(points: DataFrame) -> dict[int, list[tuple[int, float]]]:
     """Splits of the kd-tree of each vector length, from a bounded sample."""
     counts = {r["dim"]: r["n"] for r in points.groupBy("dim").agg(F.count("*").alias("n")).collect()}
@@ -300,14 +344,15 @@ def nearest(
     """(query_id, rank, vec_id, score): ``k`` neighbours of each row with id divisible by ``every``."""
     spark = rows.sparkSession
     points = stored(_projected(rows, vec_id, embedding))
-    splits = _cells(points)
-    placed = _in_cells(points, splits)
+    searched = _first_copies(points, k)
+    splits = _cells(searched)
+    placed = _in_cells(searched, splits)
     keys = ["dim", "cell"]
     parts = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
     counts = checkpointed(placed.groupBy(keys).agg(parts.alias("parts")))
     blocks = stored(
         placed.join(F.broadcast(counts), keys)
-        .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("embedding"), F.col("parts")).cast("int"))
         .drop("parts")
     )
     # One box per block of some ten thousand vectors.
@@ -328,7 +373,7 @@ def nearest(
         )
     )
     queries = checkpointed(
-        blocks.where(F.col("vec_id") % every == 0)
+        _in_cells(points.where(F.col("vec_id") % every == 0), splits)
         .groupBy("vec_id")
         .agg(F.min(F.struct("embedding", "dim", "projected", "cell")).alias("q"))
         .select("vec_id", "q.*")
@@ -349,7 +394,7 @@ def nearest(
                         go = home
                     else:
                         gap = np.maximum(np.maximum(low - points[i], points[i] - high), 0.0)
-                        near = (gap * gap).sum(axis=1) < stop * known[i] * known[i]
+                        near = (gap * gap).sum(axis=1) <= stop * known[i] * known[i]
                         go = (blocks[:, 0] == dims[i]) & ~home & near
                     found = np.flatnonzero(go)
                     row += [i] * len(found)

@@ -75,6 +75,42 @@ def test_awkward_vectors(spark, monkeypatch):
     assert search.nearest(df.limit(0), 10, 5).count() == 0
 
 
+@pytest.mark.parametrize("block", [16_384, 60])
+def test_ties_of_many_copies_go_to_the_smallest_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(search, "BLOCK_ROWS", block)
+    monkeypatch.setattr(search, "LEAF_ROWS", 16)
+    rng = np.random.default_rng(3)
+    twin, other, *single = rng.standard_normal((202, 24)).tolist()
+    vectors = [twin] * 300 + [other] * 100 + single
+    # A query beside each group has no copy of its own, only a group at one distance.
+    vectors += [[x + 0.01 for x in v] for v in (twin, other)]
+    ids = [int(i) * 10 for i in rng.permutation(len(vectors))]
+    df = spark.createDataFrame(list(zip(ids, vectors)), "vec_id long, embedding array<double>")
+    want = brute([(r.vec_id, r.embedding) for r in df.collect()], 10, 10)
+    got = {}
+    for r in search.nearest(df.repartition(7), 10, 10).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert len(got) == len(vectors)
+    for query_id in ids[:400] + ids[-2:]:
+        assert [i for _, i in sorted(got[query_id])] == [i for _, i in want[query_id]]
+
+
+def test_copies_that_differ_in_the_sign_of_zero(spark):
+    rows = [(i, [0.0 if i % 2 else -0.0, 1.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = search.nearest(df, 39, 3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [
+        (0, 1), (0, 2), (0, 3), (39, 0), (39, 1), (39, 2),
+    ]
+
+
+def test_equal_vectors_have_equal_projections_in_any_batch():
+    vectors = np.random.default_rng(5).standard_normal((37, 65))
+    whole = search.project_rows(vectors)
+    for n in (1, 2, 3, 8, 36):
+        assert (search.project_rows(vectors[:n]) == whole[:n]).all()
+
+
 def test_chi_square():
     assert search.chi_square(7.344, 8) == pytest.approx(0.5, abs=1e-3)
     assert search.chi_square_point(0.95) == pytest.approx(15.507, abs=1e-2)
