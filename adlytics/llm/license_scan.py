@@ -5,7 +5,8 @@ templates, a small fixed table. A hit at text word p and template word t votes f
 diagonal p - t. Votes are counted per diagonal, neighbouring diagonals (a word added or
 left out) are merged into one span, and a span is verified: enough of the template's
 windows must be in it, within little more than the template's own length. A phrase stands
-somewhere exactly where one diagonal has all its windows.
+somewhere exactly where one diagonal has all its windows. A diagonal that alone holds enough
+is verified before any merging, so that a mention close by cannot take it away.
 
 Only hits are grouped, so frequent words cost nothing after the join; a text's hits are
 bounded by its own length. The template table is broadcast (a few hundred rows).
@@ -112,8 +113,11 @@ def verified_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     votes = hits.groupBy(*span, (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.array_sort(F.collect_set("at")).alias("at")
     )
-    phrases = votes.where(F.col("exact") & (F.size("at") == F.col("windows"))).select(
-        *span, F.col("diagonal").alias("start"), F.lit(1.0).alias("coverage")
+    needed = F.when(F.col("exact") | (F.col("windows") <= SHORT), 1.0).otherwise(COVERAGE)
+    alone = (
+        votes.withColumn("coverage", F.size("at") / F.col("windows"))
+        .where(F.col("coverage") >= needed)
+        .select(*span, (F.col("diagonal") + F.element_at("at", 1)).alias("start"), "coverage")
     )
     # Diagonals of one text and template: bounded by the text's own words.
     near = Window.partitionBy("doc", "row", "template").orderBy("diagonal")
@@ -130,13 +134,12 @@ def verified_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         )
     )
     length = F.col("end") - F.col("start") + 1
-    needed = F.when(F.col("windows") <= SHORT, 1.0).otherwise(COVERAGE)
     notices = (
         merged.withColumn("coverage", F.col("held") / F.col("windows"))
         .where((F.col("coverage") >= needed) & (length <= STRETCH * F.col("windows") + 1))
         .select(*span, F.col("start").cast("int").alias("start"), "coverage")
     )
-    return phrases.union(notices).select("doc", "row", "label", "exact", "start", "coverage")
+    return alone.union(notices).select("doc", "row", "label", "exact", "start", "coverage")
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -68,3 +68,20 @@ def test_notices_bear_gaps_and_scattered_words_do_not_count(spark):
     ]
     assert got[1].score == 1.0 and 0.6 <= got[2].score < 1.0 and got[3].score == 0.0
     assert (got[6].n_base, got[6].first_word, got[6].last_word) == (3000, 0, 8997)
+
+
+def test_mentions_close_to_each_other_stay(spark):
+    gpl = "gnu general public license"
+    mpl = dict(license_scan.NOTICES)["mpl-2"]
+    rows = [
+        (1, "All rights reserved. Acme. All rights reserved"),
+        (2, "All rights reserved. " * 50),
+        (3, f"the {gpl} {gpl} version 2"),
+        (4, f"{mpl} v 2 0 x v 2 0 x x x"),
+        (5, "all rights are reserved and all rights"),
+        (6, "All rights reserved"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc: (r.labels, r.score) for r in license_scan.scan(df).collect()}
+    own = ("all-rights-reserved", 1.0)
+    assert got == {1: own, 2: own, 3: ("gpl-2", 1.0), 4: ("mpl-2", 1.0), 5: ("", 0.0), 6: own}
