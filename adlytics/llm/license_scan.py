@@ -77,7 +77,7 @@ def alnum_words(text: Column) -> Column:
 
 
 def template_windows(spark) -> DataFrame:
-    """(template, label, exact, windows, at, hash): each window of each template."""
+    """(template, label, exact, windows, at, hash, words): each window of each template."""
     rows = []
     for exact, group in ((True, PHRASES), (False, NOTICES)):
         for label, wording in group:
@@ -91,24 +91,36 @@ def template_windows(spark) -> DataFrame:
         "label",
         "exact",
         "windows",
+        "w",
         F.posexplode(rolling_hashes("w", K)).alias("at", "hash"),
-    )
+    ).withColumn("words", F.slice("w", F.col("at") + 1, K)).drop("w")
 
 
 def verified_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, row, label, exact, start, coverage) of every verified span."""
     content = F.coalesce(F.col(text), F.lit(""))
-    windows = (
+    templates = template_windows(docs.sparkSession)
+    known = [r["hash"] for r in templates.select("hash").distinct().collect()]
+    # Words are cut out where a hash is a template's only.
+    places = F.filter(
+        F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get("h", i).isin(known)
+    )
+    window = lambda i: F.struct(
+        i.alias("pos"), F.get("h", i).alias("hash"), F.slice("w", i + 1, K).alias("words")
+    )
+    hits = (
         docs.select(
             F.col(doc_id).alias("doc"),
             F.xxhash64(F.col(doc_id), content).alias("row"),
             alnum_words(content).alias("w"),
         )
-        .select("doc", "row", rolling_hashes("w", K).alias("h"))
-        # Outer: else the planner tests that windows exist by building them once more for each.
-        .select("doc", "row", F.posexplode_outer("h").alias("pos", "hash"))
+        .select("doc", "row", "w", rolling_hashes("w", K).alias("h"))
+        .select("doc", "row", "w", "h", F.when(F.size("h") > 0, places).alias("places"))
+        # Outer: else the planner tests that hits exist by building them once more for each.
+        .select("doc", "row", F.explode_outer(F.transform("places", window)).alias("hit"))
+        .select("doc", "row", "hit.*")
+        .join(F.broadcast(templates), ["hash", "words"])
     )
-    hits = windows.join(F.broadcast(template_windows(docs.sparkSession)), "hash")
     span = ["doc", "row", "template", "label", "exact", "windows"]
     votes = hits.groupBy(*span, (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.array_sort(F.collect_set("at")).alias("at")

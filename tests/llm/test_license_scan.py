@@ -85,3 +85,16 @@ def test_mentions_close_to_each_other_stay(spark):
     got = {r.doc: (r.labels, r.score) for r in license_scan.scan(df).collect()}
     own = ("all-rights-reserved", 1.0)
     assert got == {1: own, 2: own, 3: ("gpl-2", 1.0), 4: ("mpl-2", 1.0), 5: ("", 0.0), 6: own}
+
+
+def test_windows_of_one_hash_are_told_apart_by_their_words(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    hashes = license_scan.rolling_hashes
+    monkeypatch.setattr(
+        license_scan, "rolling_hashes", lambda *a: F.transform(hashes(*a), lambda h: F.pmod(h, F.lit(2)))
+    )
+    rows = [(1, "some words of no license at all " * 9), (2, "All rights reserved, cc by nc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc: (r.labels, r.n_base) for r in license_scan.scan(df).collect()}
+    assert got == {1: ("", 0), 2: ("all-rights-reserved,cc-by-nc", 1)}
