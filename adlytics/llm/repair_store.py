@@ -3,8 +3,9 @@
 Documents are range-partitioned by id. A partition is written as shards of about
 ``SHARD_TOKENS`` tokens, one row of a Parquet file each: the rules of a grammar of its own,
 the expansion length of each rule, and the sequence of ids and nonterminals, document by
-document. In each round every frequent pair of neighbours in a document becomes a
-nonterminal; rounds end when one shortens the shard by less than ``LEAST_GAIN``.
+document. In each round frequent pairs of neighbours in a document become nonterminals, and
+each rule has ``LEAST_USES`` uses when it is made. Rounds end when no pair has ``MIN_COUNT``
+places that do not overlap.
 
 A document is read back from its shard alone: the documents' symbol counts say where its
 symbols are, and expansion lengths how many tokens a symbol stands for.
@@ -35,7 +36,8 @@ SHARD_TOKENS = 1 << 20
 #: Nonterminals are numbered from here, above any vocabulary of the library's files.
 FIRST_RULE = 1 << 17
 MIN_COUNT = 16
-LEAST_GAIN = 0.005
+#: A rule is stored as two symbols and a length; with fewer uses it would not pay.
+LEAST_USES = 4
 _BUCKETS = 1 << 20
 
 SHARDS = (
@@ -45,31 +47,46 @@ SHARDS = (
 )
 
 
+def _every_other(at: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Marks the first, third, ... of each run of neighbouring places of one kind."""
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (np.diff(at) != 1) | (kind[1:] != kind[:-1])
+    return (at - np.maximum.accumulate(np.where(fresh, at, -1))) % 2 == 0
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their ends by document and the rules (left, right) of one shard."""
     symbols = ids.astype(np.int64)
     doc = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))
     rules = np.empty((0, 2), np.int64)
-    before = 2 * len(symbols)
-    while len(symbols) > 1 and before - len(symbols) >= LEAST_GAIN * before:
-        before = len(symbols)
+    while len(symbols) > 1:
         pair = (symbols[:-1] << 32) | symbols[1:]
         inside = doc[:-1] == doc[1:]
         bucket = ((pair * 0x9E3779B1) >> 16) & (_BUCKETS - 1)
         crowded = inside & (np.bincount(bucket[inside], minlength=_BUCKETS) >= MIN_COUNT)[bucket]
         at = np.flatnonzero(crowded)
+        # A pair of equal symbols overlaps itself: every other one counts, from the left.
+        at = at[_every_other(at, pair[at])]
         kinds, inverse, counts = np.unique(pair[at], return_inverse=True, return_counts=True)
-        often = counts >= MIN_COUNT
-        if not often.any():
+        if not (counts >= MIN_COUNT).any():
             break
-        number = np.cumsum(often) - 1 + FIRST_RULE + len(rules)
-        at, inverse = at[often[inverse]], inverse[often[inverse]]
+        at, inverse = at[counts[inverse] >= MIN_COUNT], inverse[counts[inverse] >= MIN_COUNT]
         # Of overlapping pairs every other one is replaced, from the left of each run.
-        fresh = np.concatenate([[True], np.diff(at) != 1])
-        since = at - np.maximum.accumulate(np.where(fresh, at, -1))
-        at, inverse = at[since % 2 == 0], inverse[since % 2 == 0]
+        wins = _every_other(at, np.zeros(len(at)))
+        used = np.bincount(inverse[wins], minlength=len(kinds)) >= LEAST_USES
+        if not used.any():
+            # None is left enough: the more frequent one is replaced, the most frequent always.
+            rank = np.empty(len(kinds), np.int64)
+            rank[np.argsort(counts, kind="stable")] = np.arange(len(kinds))
+            own = np.concatenate([[-1], rank[inverse], [-1]])
+            touch = np.concatenate([[False], np.diff(at) == 1, [False]])
+            wins = ~(touch[:-1] & (own[:-2] > own[1:-1])) & ~(touch[1:] & (own[2:] > own[1:-1]))
+            used = np.bincount(inverse[wins], minlength=len(kinds)) >= LEAST_USES
+        at, inverse = at[wins], inverse[wins]
+        at, inverse = at[used[inverse]], inverse[used[inverse]]
+        number = np.cumsum(used) - 1 + FIRST_RULE + len(rules)
         rules = np.concatenate(
-            [rules, np.stack([kinds[often] >> 32, kinds[often] & 0xFFFFFFFF], axis=1)]
+            [rules, np.stack([kinds[used] >> 32, kinds[used] & 0xFFFFFFFF], axis=1)]
         )
         symbols[at] = number[inverse]
         stay = np.ones(len(symbols), bool)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -169,3 +170,18 @@ def test_random_access(spark, tmp_path, documents, pairs):
             ids = direct(WORDS, [texts[shard.doc_ids[place]]])[0] + [1]
             assert shard.document(place).tolist() == ids
             assert [shard.token(place, i) for i in range(0, len(ids), 37)] == ids[::37]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_rounds_go_on_while_a_pair_is_frequent_and_rules_are_used(seed):
+    rng = np.random.default_rng(seed)
+    common = np.tile(np.arange(40), 20)
+    ids = np.concatenate([rng.integers(100, 60_000, 30_000), common, np.full(50, 7), rng.integers(0, 6, 3000)])
+    ends = np.array([5, 5, 30_000, len(ids) - 1000, len(ids)])
+    symbols, symbol_ends, rules = repair_store.compress(ids, ends)
+    assert (repair_store.expand(symbols, rules) == ids).all()
+    # No pair of two different symbols is left frequent within documents.
+    own = [symbols[a:b] for a, b in zip([0, *symbol_ends], symbol_ends)]
+    left = Counter((a, b) for d in own for a, b in zip(d.tolist(), d[1:].tolist()) if a != b)
+    assert max(left.values()) < repair_store.MIN_COUNT
+    assert len(rules) == len(np.unique(rules, axis=0)) > 0
