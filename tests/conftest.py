@@ -1,12 +1,11 @@
-"""One local session and small helpers for hand-made rows."""
+"""One local session for all tests."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from decimal import Decimal
 
 import pytest
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from adlytics.session import SETTINGS
 
@@ -43,20 +42,3 @@ def sort_merge(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(name)
         else:
             spark.conf.set(name, value)
-
-
-def plain(value):
-    return float(value) if isinstance(value, Decimal) else value
-
-
-def rows(df: DataFrame, *columns: str) -> list[tuple]:
-    """Rows as tuples in a stable order, decimals as floats."""
-    wanted = columns or df.columns
-    found = [tuple(plain(row[c]) for c in wanted) for row in df.collect()]
-    return sorted(found, key=str)
-
-
-def plan(df: DataFrame) -> str:
-    """Physical plan before any re-planning."""
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[-1]

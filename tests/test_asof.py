@@ -4,7 +4,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 
 from adlytics.operators import asof_join, asof_join_unkeyed
 

@@ -4,7 +4,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 
 from adlytics.plans import fraud
 from adlytics.sources import SCHEMAS, write_clicks, write_fact

@@ -6,7 +6,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 
 from adlytics.plans import funnel
 from adlytics.plans.spec import FunnelSpec, fitness_funnel, marketplace_funnel

@@ -7,7 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import plan
+from helpers import plan
 
 import __spark_entry__ as contract
 from fixtures.oracles import ORACLES

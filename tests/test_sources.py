@@ -4,7 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 
 from adlytics.functions import period
 from adlytics.plans import finance, fraud
