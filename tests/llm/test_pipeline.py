@@ -7,7 +7,7 @@ from collections import Counter
 import brute
 import corpus_pipeline
 import pytest
-from conftest import SF
+from text_helpers import SF
 from test_signature_trees import components_by_brute_force
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]

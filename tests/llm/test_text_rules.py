@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import brute
 import pytest
-from conftest import SF
+from text_helpers import SF
 from pyspark.sql import functions as F
 
 from adlytics.llm import jump_sharding, line_dedup, line_rules, queries
