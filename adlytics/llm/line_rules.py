@@ -156,17 +156,14 @@ def clean_lines(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST)
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")
     )
-    return base.withColumn("base_failed", failed).select(
-        "*",
-        (~failed & (F.col("n_lost_words") <= max_lost * F.col("n_words"))).alias("kept"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    kept = ~failed & (F.col("n_lost_words") <= max_lost * F.col("n_words"))
+    verdict = base.withColumn("base_failed", failed).withColumn("kept", kept)
+    # A generator of one row: a filter on the verdict stays above it, where the arrays are
+    # built already; below a projection each of their elements would build them again.
+    measures = F.struct(*(c for c in verdict.columns if c != "__doc"))
+    return verdict.select("__doc", F.inline_outer(F.array(measures)))
 
 
 def kept_documents(judged: DataFrame) -> DataFrame:
-    """Rows of ``clean_lines`` that are kept.
-
-    A plain filter on ``kept`` would be pushed below the arrays it is made from and build
-    them again for each of their elements; ``row`` cannot be pushed, so it holds it back.
-    """
-    return judged.where(F.col("kept") & (F.col("row") >= 0))
+    """Rows of ``clean_lines`` that are kept."""
+    return judged.where("kept")

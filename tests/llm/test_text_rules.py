@@ -65,22 +65,44 @@ def test_base_quality(source, documents, pairs, awkward, awkward_pairs, empty):
 def test_lines_fail_first_then_documents(spark):
     clean = "\n".join(f"Ab{i} cd{i} ef{i} gh{i} ij{i} kl{i}." for i in range(12))
     menu = "Home | About | News | Contact | Search"
+    menus = [" | ".join(f"{name}{i}" for name in ("Home", "News", "Help", "Jobs", "Press")) for i in range(20)]
     docs = spark.createDataFrame(
         [
             (1, clean),
             (2, clean + "\n" + menu + "\nAll rights reserved."),
-            (3, clean + "\n" + "\n".join([f"{menu} {i}" for i in range(20)])),
+            (3, clean + "\n" + "\n".join(menus)),
             (4, "too short."),
         ],
         "doc_id long, text string",
     )
     got = {r.doc_id: r for r in line_rules.clean_lines(docs).select("*", "__doc.doc_id").collect()}
     assert [got[i].kept for i in (1, 2, 3, 4)] == [True, True, False, False]
-    assert got[2].cleaned == clean and got[1].cleaned == clean
-    assert not got[3].base_failed
+    assert all(got[i].cleaned == clean for i in (1, 2, 3))
+    # Rejected for the text it lost, not by the base rules.
+    assert not got[3].base_failed and got[3].n_lost_words > 0.3 * got[3].n_words
+    assert got[4].base_failed
 
 
 def test_clean_documents_are_kept(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1")
     got = queries.op9_line_rules(spark, SF).where("not base_failed").join(labels, "doc_id")
     assert got.where("not kept").count() == 0 and got.count() > 0
+
+
+def optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["op3_jump_sharding", "op5_line_dedup", "op6_license_scan", "op9_line_rules"])
+def test_a_filter_on_any_column_does_not_build_the_columns_again(name, spark):
+    result = queries.QUERIES[name](spark, SF)
+    plain = len(optimised(result))
+    for column in result.columns:
+        filtered = result.where(F.col(column).isNotNull() & (F.col(column) != F.lit("0")))
+        assert len(optimised(filtered)) < 2 * plain, column
+
+
+def test_rows_filtered_by_the_verdict(spark):
+    every = queries.op9_line_rules(spark, SF)
+    want = {r.doc_id for r in every.collect() if r.kept and not r.base_failed}
+    assert {r.doc_id for r in every.where("kept and not base_failed").collect()} == want
