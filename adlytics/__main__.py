@@ -9,7 +9,15 @@ from pyspark.sql import SparkSession
 
 from adlytics.reports import REPORTS
 from adlytics.session import CLUSTER_SETTINGS, SETTINGS
-from adlytics.sources import read_tables, write_report
+from adlytics.sources import LAYOUTS, read_tables, write_report
+
+
+def table_layout(text: str) -> tuple[str, str]:
+    """TABLE=LAYOUT of the command line."""
+    name, _, layout = text.partition("=")
+    if layout not in LAYOUTS:
+        raise argparse.ArgumentTypeError(f"{text!r}: give TABLE={{{','.join(LAYOUTS)}}}")
+    return name, layout
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -22,6 +30,14 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument(
         "--partitioned", nargs="*", default=(), help="tables partitioned by write_fact"
     )
+    parser.add_argument(
+        "--layout",
+        nargs="*",
+        default=(),
+        type=table_layout,
+        metavar="TABLE=LAYOUT",
+        help=f"how a table was stored: {', '.join(LAYOUTS)}",
+    )
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"adlytics {options.report}").getOrCreate()
@@ -36,7 +52,8 @@ def main(arguments: list[str] | None = None) -> None:
         options.tables,
         report.tables,
         options.format,
-        [name for name in options.partitioned if name in report.tables],
+        options.partitioned,
+        dict(options.layout),
     )
     write_report(report.build(tables, options.as_of), options.output)
 

@@ -55,12 +55,12 @@ def markup_spend(tables: Tables, spec: FunnelSpec) -> DataFrame:
     label = classify.network_campaign_type(
         F.col("network_type"), F.col("network_publisher"), F.col("network_sub_publisher")
     )
-    export = tables["bime_export_installs"]
-    last_day = export.agg(F.max("install_date")).scalar()
+    bought = period.since_day(
+        tables["bime_export_installs"], "install_date", spec.installs_since
+    ).where(F.col("app_id").isin(*spec.app_ids))
+    last_day = bought.agg(F.max("install_date")).scalar()
     sums = (
-        period.since_day(export, "install_date", spec.installs_since)
-        .where(F.col("app_id").isin(*spec.app_ids))
-        .withColumn("campaign_type", label)
+        bought.withColumn("campaign_type", label)
         .groupBy(*grain, "network_name", "country_id")
         .agg(F.sum("installs").alias("__installs"), F.sum("spend").alias("__spend"))
     )
@@ -224,7 +224,11 @@ def paid_media(google: DataFrame, facebook: DataFrame, app_name: str) -> DataFra
 
 
 def funnel_full(
-    wide: DataFrame, cost: DataFrame, app_ids: Sequence[int], app_name: str
+    wide: DataFrame,
+    cost: DataFrame,
+    app_ids: Sequence[int],
+    app_name: str,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
     """Wide funnel full-joined to ad-network cost, with blended totals; unordered.
 
@@ -233,6 +237,10 @@ def funnel_full(
     a side's sum over the pairs is its own sum times the rows of the other side. The join
     then meets at most one row per key on each side, however many rows a key has.
 
+    The published report adds a row's spend once per row it meets on the other side. With
+    ``pre_aggregate`` each side counts once, whatever it meets; the two differ where a key
+    has several rows on a side that meets the other.
+
     Cost without a funnel row ends up in one all-NULL row, as the result is grouped by the
     funnel's columns only.
     """
@@ -251,6 +259,11 @@ def funnel_full(
         "gac_fb_clicks": "clicks",
     }
     left_rows, right_rows = F.col("__left_rows"), F.col("__right_rows")
+
+    def times(measure: str, met: Column) -> Column:
+        once = F.col(measure)
+        return once if pre_aggregate else (once * F.coalesce(met, F.lit(1))).alias(measure)
+
     standard_name = F.when(F.col("app_id").isin(*app_ids), F.lit(app_name))
     left = (
         wide.withColumn("app_name_std", standard_name)
@@ -267,8 +280,8 @@ def funnel_full(
     matches = [F.col(k) == F.col(f"__{k}") for k in PAID_MEDIA_KEYS]
     paired = left.join(right, matches, "full").select(
         *PAID_MEDIA_KEYS,
-        *((F.col(n) * F.coalesce(right_rows, F.lit(1))).alias(n) for n in left_sums),
-        *((F.col(n) * F.coalesce(left_rows, F.lit(1))).alias(n) for n in right_sums),
+        *(times(n, right_rows) for n in left_sums),
+        *(times(n, left_rows) for n in right_sums),
     )
     totals = paired.groupBy(*PAID_MEDIA_KEYS).agg(
         *(F.sum(name).alias(name) for name in (*left_sums, *right_sums))
@@ -303,7 +316,9 @@ def funnel_full(
     )
 
 
-def funnel_full_report(tables: Tables, spec: FunnelSpec, app_name: str) -> DataFrame:
+def funnel_full_report(
+    tables: Tables, spec: FunnelSpec, app_name: str, pre_aggregate: bool = False
+) -> DataFrame:
     """Wide funnel against ad-network cost, by date.
 
     Only the date order is promised; the further columns spread the sort within a date.
@@ -315,6 +330,6 @@ def funnel_full_report(tables: Tables, spec: FunnelSpec, app_name: str) -> DataF
         app_name,
     )
     order = ("date", "app_name_std", "country_code", "os", "media", "campaign_type")
-    return funnel_full(wide, cost, spec.app_ids, app_name).orderBy(
+    return funnel_full(wide, cost, spec.app_ids, app_name, pre_aggregate).orderBy(
         *(F.asc_nulls_last(c) for c in order)
     )

@@ -1,6 +1,12 @@
 """Input tables: declared schemas, reading and writing."""
 
 from adlytics.sources.schemas import SCHEMAS
-from adlytics.sources.tables import read_tables, write_clicks, write_fact, write_report
+from adlytics.sources.tables import (
+    LAYOUTS,
+    read_tables,
+    write_clicks,
+    write_fact,
+    write_report,
+)
 
-__all__ = ["SCHEMAS", "read_tables", "write_clicks", "write_fact", "write_report"]
+__all__ = ["LAYOUTS", "SCHEMAS", "read_tables", "write_clicks", "write_fact", "write_report"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,13 @@ from adlytics.functions.latency import CLICK_TIME, clicked
 from adlytics.functions.period import CLICK_DAY_PARTITION, DAY_PARTITION
 from adlytics.sources.schemas import SCHEMAS
 
+#: Columns a stored table has besides those of its schema, by layout.
+LAYOUTS: dict[str, str] = {
+    "plain": "",
+    "day": f", {DAY_PARTITION} date",
+    "click_day": f", {CLICK_TIME} timestamp_ntz, {CLICK_DAY_PARTITION} date",
+}
+
 
 def read_tables(
     spark: SparkSession,
@@ -18,17 +25,20 @@ def read_tables(
     names: Iterable[str] = tuple(SCHEMAS),
     source_format: str = "parquet",
     partitioned: Iterable[str] = (),
+    layouts: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Lazy scans of ``root/<table>``, by table name.
 
-    Tables named in ``partitioned`` were written by ``write_fact`` and get their day
-    partition as a further column, which the report windows then prune on.
+    ``layouts`` says how a table was stored: ``day`` by ``write_fact``, ``click_day`` by
+    ``write_clicks``, ``plain`` (the default) with the columns of its schema alone. The
+    partition column is read too, and the report windows prune on it. ``partitioned``
+    names tables of the layout ``day``.
     """
-    by_day = set(partitioned)
+    stored = {**dict.fromkeys(partitioned, "day"), **(layouts or {})}
+    if unknown := set(stored.values()) - set(LAYOUTS):
+        raise ValueError(f"no such layout: {', '.join(sorted(unknown))}")
     return {
-        name: spark.read.schema(
-            SCHEMAS[name] + (f", {DAY_PARTITION} date" if name in by_day else "")
-        )
+        name: spark.read.schema(SCHEMAS[name] + LAYOUTS[stored.get(name, "plain")])
         .format(source_format)
         .load(f"{root}/{name}")
         for name in names

@@ -77,6 +77,12 @@ _CTES: dict[str, str] = {
                 WHEN event_type = 'signup' THEN 'installs'
                 WHEN event_type = 'error' THEN
                     CASE WHEN event_id % 2 = 0 THEN 'uninstall' END
+                WHEN app_id = 3 AND k < 15 THEN 'created account (Unique users)'
+                WHEN app_id = 3 AND k < 30 THEN '14 day trial started (Unique users)'
+                WHEN app_id = 3 AND k < 45 THEN '1 week pass started (Unique users)'
+                WHEN app_id = 3 AND k < 55 THEN 'subscription started (Unique users)'
+                WHEN app_id = 3 AND k < 65 THEN 'started workout (Event counter)'
+                WHEN app_id = 3 AND k < 80 THEN 'finished workout (Event counter)'
                 WHEN k < 15 THEN 'signup (Unique users)'
                 WHEN k < 30 THEN 'category_choose (Event counter)'
                 WHEN k < 45 THEN 'order_location (Event counter)'

@@ -333,7 +333,20 @@ _EVENT_COLUMNS = {
     "conversions": "conversions",
     "total_revenue": "total_revenue",
 }
-_EVENT_NAMES = ", ".join(f"'{name}'" for name in _EVENT_COLUMNS)
+# The network funnel is another client's.
+_NETWORK_EVENT_COLUMNS = {
+    "impressions": "impressions",
+    "clicks": "clicks",
+    "installs": "installs",
+    "created account (Unique users)": "event_1",
+    "14 day trial started (Unique users)": "event_2",
+    "1 week pass started (Unique users)": "event_3",
+    "subscription started (Unique users)": "event_4",
+    "started workout (Event counter)": "event_5",
+    "finished workout (Event counter)": "event_6",
+    "conversions": "conversions",
+    "total_revenue": "total_revenue",
+}
 _SPEND_TABLES = (
     "bime_export_installs", "apps_flyer_network_names", "apps_flyer_networks", "mark_ups",
 )
@@ -354,7 +367,12 @@ _NARROW_SCOPE = {
 }
 
 
+_NARROW_NETWORK_SCOPE = {**_NARROW_SCOPE, "apps": "2, 3"}
+
+
 def _rollup_sql(by_network: bool, scope: dict[str, str] = _WIDE_SCOPE) -> str:
+    columns = _NETWORK_EVENT_COLUMNS if by_network else _EVENT_COLUMNS
+    names = ", ".join(f"'{name}'" for name in columns)
     return f"""
         SELECT date, app_id, app_name, {'media_source,' if by_network else ''} country_code,
                os, {_MEDIA_SQL} AS media, {_TYPE_SQL} AS campaign_type, event_name,
@@ -362,7 +380,7 @@ def _rollup_sql(by_network: bool, scope: dict[str, str] = _WIDE_SCOPE) -> str:
         FROM bime_export_aggregated_events
         WHERE app_id IN ({scope['apps']})
           AND date >= DATE '2024-01-31' - INTERVAL {scope['days']} DAY
-          AND event_name IN ({_EVENT_NAMES}) AND {scope['countries']}
+          AND event_name IN ({names}) AND {scope['countries']}
         GROUP BY ALL
     """
 
@@ -404,7 +422,9 @@ def _funnel_sql(by_network: bool) -> str:
 def _wide_sql(by_network: bool) -> str:
     columns = ", ".join(
         f"max(totals) FILTER (event_name = '{name}') AS {column}"
-        for name, column in _EVENT_COLUMNS.items()
+        for name, column in (
+            _NETWORK_EVENT_COLUMNS if by_network else _EVENT_COLUMNS
+        ).items()
     )
     return f"""
         SELECT * EXCLUDE (fin_installs) FROM (
@@ -524,6 +544,71 @@ _FULL_SQL = """
 """
 
 
+_KEYS = ("app_name_std", "date", "country_code", "os", "media", "campaign_type")
+# Each side is summed before they meet, so that nothing is counted twice.
+_FULL_ONCE_SQL = f"""
+    WITH own AS (
+        SELECT app_name_std, date, country_code, os, media, campaign_type,
+               sum(mrs_spend) AS mrs_spend, sum(impressions) AS impressions,
+               sum(clicks) AS clicks, sum(installs) AS installs, sum(event_1) AS event_1,
+               sum(event_2) AS event_2, sum(event_3) AS event_3, sum(event_4) AS event_4,
+               sum(event_5) AS event_5, sum(event_6) AS event_6,
+               sum(conversions) AS conversions, sum(total_revenue) AS total_revenue
+        FROM (SELECT CASE WHEN app_id IN (1, 2) THEN 'Standard App' END AS app_name_std, *
+              FROM wide_rows)
+        GROUP BY ALL),
+    bought AS (
+        SELECT app_name_std, date, country_code, os, media, campaign_type,
+               sum(cost) AS cost, sum(impressions) AS impressions, sum(clicks) AS clicks
+        FROM paid_rows GROUP BY ALL)
+    SELECT f.app_name_std, CAST(f.date AS VARCHAR) AS date, f.country_code, f.os, f.media,
+           f.campaign_type, sum(f.mrs_spend) AS mrs_cost, sum(c.cost) AS gac_fb_cost,
+           sum(f.impressions) AS mrs_impressions, sum(c.impressions) AS gac_fb_impressions,
+           sum(f.clicks) AS mrs_clicks, sum(c.clicks) AS gac_fb_clicks,
+           sum(f.installs) AS total_installs,
+           {", ".join(f"sum(f.event_{i}) AS event_{i}" for i in range(1, 7))},
+           sum(f.conversions) AS total_conversions, sum(f.total_revenue) AS total_revenue,
+           if(f.media = 'media buy', CAST(sum(f.impressions) AS DOUBLE), sum(c.impressions))
+               AS total_impressions,
+           if(f.media = 'media buy', CAST(sum(f.clicks) AS DOUBLE), sum(c.clicks))
+               AS total_clicks,
+           if(f.media = 'media buy', CAST(sum(f.mrs_spend) AS DOUBLE), sum(c.cost))
+               AS total_cost
+    FROM own f FULL JOIN bought c ON {" AND ".join(f"f.{k} = c.{k}" for k in _KEYS)}
+    GROUP BY f.app_name_std, f.date, f.country_code, f.os, f.media, f.campaign_type
+"""
+
+
+def _full(sql: str) -> str:
+    return with_tables(
+        _comparable(
+            sql,
+            app_name_std=_V, date=_V, country_code=_V, os=_V, media=_V, campaign_type=_V,
+            mrs_cost=_D, gac_fb_cost=_D, mrs_impressions=_D, gac_fb_impressions=_B,
+            mrs_clicks=_D, gac_fb_clicks=_B, total_installs=_D, event_1=_D, event_2=_D,
+            event_3=_D, event_4=_D, event_5=_D, event_6=_D, total_conversions=_D,
+            total_revenue=_D, total_impressions=_D, total_clicks=_D, total_cost=_D,
+        ),
+        "bime_export_aggregated_events", *_SPEND_TABLES, "google_campaign_performance",
+        "facebook_campaign_performance", **_funnel_stages(False), paid_rows=_PAID_SQL,
+    )
+
+
+_ORDERS = _comparable(
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
+              h.o_orderkey AS price_order, h.o_totalprice AS price
+       FROM lineitem
+       LEFT JOIN orders h
+         ON h.o_custkey = l_partkey
+        AND CAST(h.o_orderdate AS DATE) = (
+            SELECT max(CAST(o.o_orderdate AS DATE)) FROM orders o
+            WHERE o.o_custkey = l_partkey
+              AND CAST(o.o_orderdate AS DATE) <= CAST(l_shipdate AS DATE))""",
+    l_orderkey=_B, l_linenumber=_B, l_partkey=_B, l_shipdate=_DATE, price_order=_B,
+    price=_D,
+)
+
+
 ORACLES: dict[str, str] = {
     "u01_daily_installs": with_tables(
         _comparable(_DAILY_SQL, **_DAILY, country_id=_B, installs=_B), *_DAILY_TABLES
@@ -545,19 +630,8 @@ ORACLES: dict[str, str] = {
         ),
         "unconverting_sources", "mark_ups",
     ),
-    "u02_asof_orders": _comparable(
-        """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
-                  h.o_orderkey AS price_order, h.o_totalprice AS price
-           FROM lineitem
-           LEFT JOIN orders h
-             ON h.o_custkey = l_partkey
-            AND CAST(h.o_orderdate AS DATE) = (
-                SELECT max(CAST(o.o_orderdate AS DATE)) FROM orders o
-                WHERE o.o_custkey = l_partkey
-                  AND CAST(o.o_orderdate AS DATE) <= CAST(l_shipdate AS DATE))""",
-        l_orderkey=_B, l_linenumber=_B, l_partkey=_B, l_shipdate=_DATE, price_order=_B,
-        price=_D,
-    ),
+    "u02_asof_orders": _ORDERS,
+    "u02_asof_orders_bucketed": _ORDERS,
     "u03_cpi_override": with_tables(
         _comparable(f"SELECT *, {_CPI_SQL} AS cpi FROM enriched", **_DAILY, cpi=_D),
         *_HIERARCHY_TABLES, **_HIERARCHY_STAGES,
@@ -649,7 +723,7 @@ ORACLES: dict[str, str] = {
     "u20_markup_spend_by_network": _spend(True),
     "u21_funnel": _long(False),
     "u21_funnel_narrowed": _long(False, _NARROW_SCOPE),
-    "u22_funnel_by_network_narrowed": _long(True, _NARROW_SCOPE),
+    "u22_funnel_by_network_narrowed": _long(True, _NARROW_NETWORK_SCOPE),
     "u22_funnel_by_network": _long(True),
     "u23_funnel_wide": _wide(False),
     "u24_funnel_wide_by_network": _wide(True),
@@ -661,16 +735,6 @@ ORACLES: dict[str, str] = {
         ),
         "google_campaign_performance", "facebook_campaign_performance",
     ),
-    "u26_funnel_full": with_tables(
-        _comparable(
-            _FULL_SQL,
-            app_name_std=_V, date=_V, country_code=_V, os=_V, media=_V, campaign_type=_V,
-            mrs_cost=_D, gac_fb_cost=_D, mrs_impressions=_D, gac_fb_impressions=_B,
-            mrs_clicks=_D, gac_fb_clicks=_B, total_installs=_D, event_1=_D, event_2=_D,
-            event_3=_D, event_4=_D, event_5=_D, event_6=_D, total_conversions=_D,
-            total_revenue=_D, total_impressions=_D, total_clicks=_D, total_cost=_D,
-        ),
-        "bime_export_aggregated_events", *_SPEND_TABLES, "google_campaign_performance",
-        "facebook_campaign_performance", **_funnel_stages(False), paid_rows=_PAID_SQL,
-    ),
+    "u26_funnel_full": _full(_FULL_SQL),
+    "u26_funnel_full_pre_aggregated": _full(_FULL_ONCE_SQL),
 }

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlytics.functions import classify, prices
-from adlytics.operators import asof_join, asof_join_unkeyed
+from adlytics.operators import asof_join, asof_join_bucketed, asof_join_unkeyed
 from adlytics.plans import finance, fraud, funnel
-from adlytics.plans.spec import FunnelSpec
+from adlytics.plans.spec import FITNESS_EVENTS, FunnelSpec
 from fixtures.spark_tables import (
     AS_OF,
     FIRST_DAY,
@@ -48,6 +48,7 @@ BY_NETWORK = FunnelSpec(
     country_codes=_COUNTRIES,
     markup_user_id=40,
     installs_since=FIRST_DAY,
+    client_events=FITNESS_EVENTS,
     by_network=True,
 )
 NARROWED = {
@@ -56,6 +57,8 @@ NARROWED = {
     "installs_since": date(2024, 1, 16),
     "lookback_days": 20,
 }
+# Events of the network funnel's client are those of the third app.
+NARROWED_NETWORK = {**NARROWED, "app_ids": (2, 3)}
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -135,7 +138,7 @@ def _asof_unkeyed(t: FixtureTables) -> DataFrame:
     )
 
 
-def _asof_orders(t: FixtureTables) -> DataFrame:
+def _asof_orders(t: FixtureTables, join: Callable[..., DataFrame] = asof_join) -> DataFrame:
     """Every order as dated price of a key, looked up for every line item."""
     facts = t.source("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("l_shipdate")
@@ -143,7 +146,7 @@ def _asof_orders(t: FixtureTables) -> DataFrame:
     history = t.source("orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate")
     )
-    return asof_join(
+    return join(
         facts,
         history,
         {"l_partkey": "o_custkey"},
@@ -208,9 +211,11 @@ def _paid_media(t: FixtureTables) -> DataFrame:
     )
 
 
-def _funnel_full(t: FixtureTables) -> DataFrame:
+def _funnel_full(t: FixtureTables, pre_aggregate: bool = False) -> DataFrame:
     wide = funnel.funnel_wide(funnel.funnel(t, BY_MEDIA), BY_MEDIA.event_columns)
-    return funnel.funnel_full(wide, _paid_media(t), STANDARD_APP_IDS, STANDARD_APP)
+    return funnel.funnel_full(
+        wide, _paid_media(t), STANDARD_APP_IDS, STANDARD_APP, pre_aggregate
+    )
 
 
 def _pivot(t: FixtureTables, days: int) -> DataFrame:
@@ -238,6 +243,7 @@ BUILDERS: dict[str, Callable[[FixtureTables], DataFrame]] = {
     "u02_asof_keyed": _asof_keyed,
     "u02_asof_unkeyed": _asof_unkeyed,
     "u02_asof_orders": _asof_orders,
+    "u02_asof_orders_bucketed": lambda t: _asof_orders(t, asof_join_bucketed),
     "u03_cpi_override": _cpi_override,
     "u04_markup_override": _markup_override,
     "u05_source_enrichment": _enriched,
@@ -284,13 +290,14 @@ BUILDERS: dict[str, Callable[[FixtureTables], DataFrame]] = {
     "u21_funnel": lambda t: funnel.funnel_report(t, BY_MEDIA),
     "u21_funnel_narrowed": lambda t: funnel.funnel_report(t, replace(BY_MEDIA, **NARROWED)),
     "u22_funnel_by_network_narrowed": lambda t: funnel.funnel_report(
-        t, replace(BY_NETWORK, **NARROWED)
+        t, replace(BY_NETWORK, **NARROWED_NETWORK)
     ),
     "u22_funnel_by_network": lambda t: funnel.funnel_report(t, BY_NETWORK),
     "u23_funnel_wide": lambda t: funnel.funnel_wide_report(t, BY_MEDIA),
     "u24_funnel_wide_by_network": lambda t: funnel.funnel_wide_report(t, BY_NETWORK),
     "u25_paid_media": _paid_media,
     "u26_funnel_full": _funnel_full,
+    "u26_funnel_full_pre_aggregated": lambda t: _funnel_full(t, pre_aggregate=True),
 }
 
 QUERIES: dict[str, Query] = {name: _on_tables(build) for name, build in BUILDERS.items()}

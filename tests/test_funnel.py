@@ -236,9 +236,13 @@ def cost_row(media="media buy", app="App", cost=10.0, country="IL", n=100):
     return (app, "ios", media, "performance", country, DAY, cost, n, n)
 
 
-def full(spark, wide, cost):
+def full(spark, wide, cost, **options):
     return funnel.funnel_full(
-        spark.createDataFrame(wide, WIDE), spark.createDataFrame(cost, COST), (69, 70), "App"
+        spark.createDataFrame(wide, WIDE),
+        spark.createDataFrame(cost, COST),
+        (69, 70),
+        "App",
+        **options,
     )
 
 
@@ -258,6 +262,25 @@ def test_full_sums_over_all_pairs_and_blends_by_media(spark):
     ]
 
 
+def test_full_counts_each_side_once_when_pre_aggregated(spark):
+    found = full(
+        spark,
+        [wide_row(), wide_row(app=70), wide_row(media="facebook"), wide_row(media="organic")],
+        [cost_row(), cost_row(cost=20.0), cost_row(cost=30.0), cost_row(media="facebook"),
+         cost_row(media="twitter", cost=7.0), cost_row(media=None, cost=5.0)],
+        pre_aggregate=True,
+    )
+    assert rows(
+        found, "media", "mrs_cost", "gac_fb_cost", "total_installs", "total_impressions",
+        "total_clicks", "total_cost",
+    ) == [
+        ("facebook", 1.0, 10.0, 1.0, 100.0, 100.0, 10.0),
+        ("media buy", 2.0, 60.0, 2.0, 2.0, 2.0, 2.0),
+        ("organic", 1.0, None, 1.0, None, None, None),
+        (None, None, 12.0, None, 200.0, 200.0, 12.0),
+    ]
+
+
 def test_full_folds_unmatched_cost_and_unknown_apps(spark):
     found = full(
         spark,
@@ -337,3 +360,27 @@ def test_each_filter_of_the_narrowed_funnel_drops_rows(spark):
     for name in NARROWED:
         rest = {k: v for k, v in NARROWED.items() if k != name}
         assert rows(plans.funnel(tables, replace(BY_MEDIA, **rest))) != narrow, name
+
+
+def test_the_last_day_of_spend_is_sought_among_the_rows_used(spark, tmp_path):
+    from adlytics.sources import read_tables, write_fact
+    from adlytics.sources.schemas import SCHEMAS
+
+    names = ("bime_export_installs", "apps_flyer_network_names", "apps_flyer_networks", "mark_ups")
+    other_app = (1, 1, "net", "pub", "sub", "US", 7, date(2030, 1, 1), 1, *[None] * 7)
+    for name in names:
+        if name == "bime_export_installs":
+            export = spark.createDataFrame([other_app], SCHEMAS[name])
+            write_fact(export, f"{tmp_path}/{name}", "install_date")
+        else:
+            spark.createDataFrame([], SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}")
+    tables = read_tables(
+        spark, str(tmp_path), names, layouts={"bime_export_installs": "day"}
+    )
+    spend = funnel.markup_spend(tables, marketplace_funnel(AS_OF))
+    assert rows(spend) == []
+    scans = [s for s in plan(spend).split("FileScan")[1:] if "install_date#" in s.split("]")[0]]
+    assert scans
+    for scan in scans:
+        assert "day_partition#" in scan.split("PartitionFilters")[1].split("]")[0]
+        assert "In(app_id" in scan

@@ -4,11 +4,11 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 
 from adlytics.__main__ import main
 from adlytics.reports import REPORTS
-from adlytics.sources import SCHEMAS, read_tables
+from adlytics.sources import SCHEMAS, read_tables, write_clicks, write_report
 
 AS_OF = date(2016, 12, 10)
 DATA = {
@@ -81,3 +81,33 @@ def test_command_line(spark, root, tmp_path):
     output = f"{tmp_path}/out"
     main(["duplicate_ips", "--tables", root, "--output", output, "--as-of", "2016-12-10"])
     assert rows(spark.read.parquet(output), "name", "total_ips") == [("one", 21)]
+
+
+def test_command_line_reads_installs_by_click_day(spark, root, tmp_path, monkeypatch):
+    """The stored click days are read end to end, and only those of the window."""
+    stored = f"{tmp_path}/tables"
+    for name in ("apps_flyer_data", "apps"):
+        df = spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+        if name == "apps":
+            df.write.parquet(f"{stored}/{name}")
+        else:
+            write_clicks(df, f"{stored}/{name}")
+    written = {}
+
+    def keep(report, path):
+        written[path] = plan(report)
+        write_report(report, path)
+
+    monkeypatch.setattr("adlytics.__main__.write_report", keep)
+    given = ["click_to_install", "--as-of", "2016-12-10"]
+    main([*given, "--tables", root, "--output", f"{tmp_path}/plain"])
+    main(
+        [*given, "--tables", stored, "--output", f"{tmp_path}/clicks",
+         "--layout", "apps_flyer_data=click_day"]
+    )
+    found = spark.read.parquet(f"{tmp_path}/clicks")
+    assert rows(found) == rows(spark.read.parquet(f"{tmp_path}/plain")) != []
+    text = written[f"{tmp_path}/clicks"].split("PartitionFilters")[1].split("]")[0]
+    assert "click_day_partition#" in text
+    with pytest.raises(SystemExit):
+        main([*given, "--tables", stored, "--output", "x", "--layout", "apps_flyer_data=weekly"])

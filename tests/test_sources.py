@@ -8,7 +8,7 @@ from helpers import plan, rows
 
 from adlytics.functions import period
 from adlytics.plans import finance, fraud
-from adlytics.sources import SCHEMAS, read_tables, write_fact, write_report
+from adlytics.sources import SCHEMAS, read_tables, write_clicks, write_fact, write_report
 
 AS_OF = date(2024, 1, 31)
 
@@ -43,6 +43,31 @@ def test_windows_prune_partitions_and_push_the_timestamp(stored):
     assert "day_partition#" in plan(few).split("PartitionFilters")[1].split("]")[0]
 
 
+def test_layouts_read_what_was_written(spark, tmp_path):
+    clicked = '{"Click Time": "2024-01-29 10:00:00"}'
+    installs = spark.createDataFrame(
+        [(1, "c", "net", "pub", "sub", "US", datetime(2024, 1, 30), 1, "ip", raw)
+         for raw in (clicked, "{}", None)],
+        SCHEMAS["apps_flyer_data"],
+    )
+    write_clicks(installs, f"{tmp_path}/apps_flyer_data")
+
+    def read(**how):
+        return read_tables(spark, str(tmp_path), ["apps_flyer_data"], **how)["apps_flyer_data"]
+
+    stored = read(layouts={"apps_flyer_data": "click_day"})
+    assert stored.columns[-2:] == ["click_time", "click_day_partition"]
+    assert rows(stored.select(installs.columns)) == rows(installs)
+    assert rows(stored, "click_time", "click_day_partition") == sorted(
+        [(datetime(2024, 1, 29, 10), date(2024, 1, 29)), (None, None), (None, None)], key=str
+    )
+    recent = period.since_click_day(stored, date(2024, 1, 24))
+    assert "click_day_partition#" in plan(recent).split("PartitionFilters")[1].split("]")[0]
+    assert "click_time" not in read().columns
+    with pytest.raises(ValueError, match="no such layout: weekly"):
+        read(layouts={"apps_flyer_data": "weekly"})
+
+
 def test_strict_window(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 24),)], "t timestamp_ntz")
     assert period.since(df, "t", date(2024, 1, 24)).count() == 1
