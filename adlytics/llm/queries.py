@@ -14,6 +14,7 @@ from adlytics.llm import (
     license_scan,
     line_dedup,
     line_rules,
+    merkle_manifest,
     mixing,
     projected_search,
     quote_links,
@@ -101,6 +102,18 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_store.read_documents(spark, path)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # What is checked: a seventh of the documents with one character more than they have.
+    return merkle_manifest.manifest(
+        table(spark, sf_dir, "documents"),
+        "doc_id",
+        "lang",
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        {"n_chars": F.col("n_chars") + 1},
+        F.crc32(F.col("doc_id").cast("string")) % 7 == 0,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quote_links": op1_quote_links,
     "op2_mixing": op2_mixing,
@@ -112,4 +125,5 @@ QUERIES: dict[str, Query] = {
     "op8_projected_search": op8_projected_search,
     "op9_line_rules": op9_line_rules,
     "op10_repair_store": op10_repair_store,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }

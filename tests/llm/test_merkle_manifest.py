@@ -1,0 +1,136 @@
+"""The Merkle manifest against a plain tree in one list."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+from text_helpers import SF, awkward_rows
+
+from adlytics.llm import merkle_manifest, queries
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    parts = ["-" if row[f] is None else f"{len(str(row[f]).encode())}:{row[f]}" for f in FIELDS]
+    return sha("".join(parts))
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([sha("".join(out[-1][i : i + 2])) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def steps(tree, at):
+    """(siblings left, siblings right) on the way up."""
+    out = []
+    for level in tree[:-1]:
+        first = at // 2 * 2
+        run = level[first : first + 2]
+        out.append((run[: at - first], run[at - first + 1 :]))
+        at //= 2
+    return out
+
+
+def brute(rows):
+    langs = sorted({r["lang"] for r in rows}, key=lambda x: (x is not None, (x or "").encode()))
+    trees, own = [], []
+    for lang in langs:
+        group = [r for r in rows if r["lang"] == lang]
+        group.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)))
+        own.append(group)
+        trees.append(levels([leaf(r) for r in group]))
+    crown = levels([t[-1][0] for t in trees])
+    out = []
+    for i, group in enumerate(own):
+        for place, row in enumerate(group):
+            path = steps(trees[i], place) + steps(crown, i)
+            seen = dict(row)
+            if row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 7 == 0:
+                if row["n_chars"] is not None:
+                    seen["n_chars"] += 1
+            folded = leaf(seen)
+            for left, right in path:
+                folded = sha("".join([*left, folded, *right]))
+            proof = sha("".join("".join([*left, *right]) for left, right in path))
+            root = crown[-1][0]
+            out.append((row["doc_id"], leaf(row), trees[i][-1][0], root, proof, folded, folded == root))
+    return out
+
+
+def op(df, height=10):
+    return merkle_manifest.manifest(
+        df, "doc_id", "lang", FIELDS, {"n_chars": F.col("n_chars") + 1},
+        F.crc32(F.col("doc_id").cast("string")) % 7 == 0, height,
+    )
+
+
+COLUMNS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def check(df, height=10):
+    rows = [r.asDict() for r in df.select(*FIELDS).collect()]
+    got = [tuple(r) for r in op(df, height).select(*COLUMNS).collect()]
+    assert sorted(got, key=str) == sorted(brute(rows), key=str)
+    return got
+
+
+@pytest.mark.parametrize("height", [2, 3, 10])
+def test_documents(height, spark):
+    """Any number of tiers; one superblock per tree at the default height."""
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    got = check(df, height)
+    assert {v for *_, v in got} == {True, False}
+
+
+def test_query(spark):
+    got = queries.op11_merkle_manifest(spark, SF)
+    rows = [r.asDict() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert sorted(map(tuple, got.select(*COLUMNS).collect()), key=str) == sorted(brute(rows), key=str)
+
+
+@pytest.mark.parametrize("height", [2, 10])
+def test_awkward_rows(height, awkward):
+    check(awkward, height)
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 9, 17])
+def test_sizes_of_a_tree(n, spark):
+    schema = "doc_id long, source string, lang string, n_chars long, text string, path string, tree string"
+    rows = [(i, None, None if i < n else "é", i, "t" * i, "x", "y") for i in range(n + 1)]
+    check(spark.createDataFrame(rows, schema), 2)
+
+
+def test_many_trees_have_a_crown_of_several_tiers(spark):
+    rows = [(i, "s", None if i % 40 == 0 else f"l{i % 40}", i, "text") for i in range(90)]
+    schema = "doc_id long, source string, lang string, n_chars long, text string"
+    check(spark.createDataFrame(rows, schema), 2)
+
+
+def test_large_ids_and_missing_ones(spark):
+    rows = [(2**62 + i, "s", "en", 1, "t") for i in range(5)] + [(None, "s", "en", 1, "t")] * 2
+    check(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string"))
+
+
+def test_no_rows(empty):
+    assert op(empty).collect() == []
+
+
+def test_rows_of_the_awkward_table_hold_what_they_should():
+    rows = awkward_rows()
+    assert any(r[0] is None for r in rows) and len(rows) > len(set(rows))
+
+
+def test_no_task_holds_more_than_a_superblock(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    text = op(df)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in text and "Cartesian" not in text and "Window" not in text
