@@ -44,6 +44,14 @@ def rolling_hashes(word_array: str, width: int) -> Column:
     return F.when(F.size(w) >= width, windows).otherwise(none)
 
 
+def finite_vector(vector: Column) -> Column:
+    """Whether no component is NULL, NaN or infinite."""
+    return F.forall(
+        vector,
+        lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < F.lit(float("inf"))),
+    )
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share; a local one only where the session names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

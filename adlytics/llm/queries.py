@@ -16,10 +16,12 @@ from adlytics.llm import (
     line_rules,
     merkle_manifest,
     mixing,
+    pivot_search,
     projected_search,
     quote_links,
     repair_store,
     signature_trees,
+    whitening,
 )
 from adlytics.llm.common import table
 
@@ -114,6 +116,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_products(table(spark, sf_dir, "embeddings"), 50, 5)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quote_links": op1_quote_links,
     "op2_mixing": op2_mixing,
@@ -126,4 +136,6 @@ QUERIES: dict[str, Query] = {
     "op9_line_rules": op9_line_rules,
     "op10_repair_store": op10_repair_store,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_pivot_search": op12_pivot_search,
+    "op13_whitening": op13_whitening,
 }

@@ -35,4 +35,4 @@ def test_entry_registers_every_operator():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 12))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
