@@ -15,11 +15,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text taken at a time; bounds the memory of a task, whatever a batch holds.
-CHUNK_BYTES = 1 << 22
-#: Units remembered by a worker, and units encoded at a time.
-REMEMBERED, AT_ONCE = 200_000, 10_000
+CHUNK_BYTES = 1 << 23
+#: Units remembered by a worker, and units encoded at a time. Past the number, the half that
+#: came up most often stays: words of a language recur, most others do not.
+REMEMBERED, AT_ONCE = 600_000, 10_000
 
 _ENCODERS: dict[str, Encoder] = {}
 _LETTER, _MARK = 1, 2
@@ -42,25 +44,53 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
-
-    def numbers(self, units: list[str]) -> np.ndarray:
-        """The number under which each unit is remembered."""
-        if len(self.known) + len(units) > max(REMEMBERED, len(units)):
-            self.forget()
-        new = [u for u in units if u not in self.known]
-        for at in range(0, len(new), AT_ONCE):
-            own = new[at : at + AT_ONCE]
-            found = [
-                e.ids for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)
-            ]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-            self.known.update(zip(own, range(len(self.known), len(self.known) + len(own))))
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, ids])
-        return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        self.seen = np.empty(0, np.int32)
+
+    def make_room(self) -> None:
+        """Keeps the half of the units that came up in most chunks."""
+        order = np.sort(np.argsort(-self.seen, kind="stable")[: REMEMBERED // 2])
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.known = self.known.take(pa.array(order))
+        self.ids = _gather(self.ids, starts[order], self.sizes[order])
+        # Halved, so that what came up long ago gives way.
+        self.sizes, self.seen = self.sizes[order], self.seen[order] // 2
+
+    def numbers(self, units: pa.LargeStringArray) -> np.ndarray:
+        """The number under which each of these different units is remembered."""
+        if len(self.known) + len(units) > REMEMBERED:
+            self.make_room()
+        found = pc.index_in(units, value_set=self.known)
+        fresh = found.is_null()
+        numbers = found.fill_null(0).to_numpy().astype(np.int64)
+        new = units.filter(fresh)
+        if len(new):
+            sizes, ids = [self.sizes], [self.ids]
+            for at in range(0, len(new), AT_ONCE):
+                encoded = [
+                    e.ids
+                    for e in self.tokenizer.encode_batch_fast(
+                        new.slice(at, AT_ONCE).to_pylist(), add_special_tokens=False
+                    )
+                ]
+                sizes.append(np.fromiter(map(len, encoded), np.int64, len(encoded)))
+                ids.append(np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes[-1].sum())))
+            first = len(self.known)
+            numbers[fresh.to_numpy(zero_copy_only=False)] = np.arange(first, first + len(new))
+            self.sizes, self.ids = np.concatenate(sizes), np.concatenate(ids)
+            self.known = pa.concat_arrays([self.known, new])
+            self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int32)])
+        self.seen[numbers] += 1
+        return numbers
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Pieces of ``values`` one after the other."""
+    stops = np.cumsum(lengths)
+    if not len(stops):
+        return values[:0]
+    return values[np.repeat(starts - (stops - lengths), lengths) + np.arange(int(stops[-1]))]
 
 
 def tokenizer(path: str) -> Encoder:
@@ -111,13 +141,12 @@ def encode_column(encoder: Encoder, texts: pa.Array) -> Iterator[tuple[int, int,
             units = pa.LargeStringArray.from_buffers(
                 len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))
             ).dictionary_encode()
-            numbers = encoder.numbers(units.dictionary.to_pylist())[units.indices.to_numpy()]
+            numbers = encoder.numbers(units.dictionary)[units.indices.to_numpy()]
             lengths = encoder.sizes[numbers]
             stops = np.cumsum(lengths)
             places = (np.cumsum(encoder.sizes) - encoder.sizes)[numbers]
-            take = np.repeat(places - (stops - lengths), lengths) + np.arange(int(stops[-1]))
             ends = np.concatenate([[0], stops])[np.searchsorted(edges, bounds[1:])]
-            yield first, end, encoder.ids[take], ends
+            yield first, end, _gather(encoder.ids, places, lengths), ends
         else:
             yield first, end, np.empty(0, np.uint32), np.zeros(end - first, np.int64)
         first = end
