@@ -47,40 +47,88 @@ SHARDS = (
 )
 
 
-def _every_other(at: np.ndarray, kind: np.ndarray) -> np.ndarray:
+def _every_other(at: np.ndarray, kind: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Marks the first, third, ... of each run of neighbouring places of one kind."""
     fresh = np.ones(len(at), bool)
-    fresh[1:] = (np.diff(at) != 1) | (kind[1:] != kind[:-1])
-    return (at - np.maximum.accumulate(np.where(fresh, at, -1))) % 2 == 0
+    fresh[1:] = (after[at[:-1]] != at[1:]) | (kind[1:] != kind[:-1])
+    place = np.arange(len(at))
+    return (place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0
+
+
+def _frequent(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs with at least ``MIN_COUNT`` places, ascending, and their counts."""
+    ordered = np.sort(pairs)
+    ends = np.append(np.flatnonzero(ordered[1:] != ordered[:-1]), len(ordered) - 1) + 1
+    counts = np.diff(ends, prepend=0)
+    often = counts >= MIN_COUNT
+    return ordered[ends[often] - 1], counts[often]
+
+
+def _find(kinds: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The place of each pair among the ascending ``kinds``, -1 for those not there."""
+    table = np.full(_BUCKETS, -1, np.int32)
+    bucket = _bucket(kinds)
+    table[bucket] = np.arange(len(kinds))
+    found = table[_bucket(pairs)]
+    missed = (found >= 0) & (kinds[found] != pairs)
+    # Kinds whose bucket another one took are few; they are looked up by value.
+    rest = np.flatnonzero(table[bucket] != np.arange(len(kinds)))
+    shared = np.zeros(_BUCKETS, bool)
+    shared[bucket[rest]] = True
+    other = np.flatnonzero(missed)
+    other = other[shared[_bucket(pairs[other])]]
+    found[missed] = -1
+    if len(other):
+        place = np.minimum(np.searchsorted(kinds[rest], pairs[other]), len(rest) - 1)
+        found[other] = np.where(kinds[rest][place] == pairs[other], rest[place], -1)
+    return found
+
+
+def _bucket(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * 0x9E3779B1) >> 16) & (_BUCKETS - 1)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, their ends by document and the rules (left, right) of one shard."""
-    symbols = ids.astype(np.int64)
-    doc = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))
+    """Symbols, their ends by document and the rules (left, right) of one shard.
+
+    A replaced pair keeps its first place; the second one is unlinked. A pair's count only
+    falls, other than of pairs with a new nonterminal. So a round looks at the places next
+    to those and at the pairs that were frequent already, and never at the others again.
+    """
+    n = len(ids)
+    symbols = np.append(ids, 0).astype(np.int64)
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    # Place n stands for the end of every document, from either side.
+    filled = np.diff(ends, prepend=0) > 0
+    last = ends[filled] - 1
+    first = np.concatenate([[0], last + 1])[:-1] if len(last) else last
+    after[last], before[first], after[n], before[n] = n, n, n, n
+    stays = np.ones(n, bool)
     rules = np.empty((0, 2), np.int64)
-    while len(symbols) > 1:
-        pair = (symbols[:-1] << 32) | symbols[1:]
-        inside = doc[:-1] == doc[1:]
-        bucket = ((pair * 0x9E3779B1) >> 16) & (_BUCKETS - 1)
-        crowded = inside & (np.bincount(bucket[inside], minlength=_BUCKETS) >= MIN_COUNT)[bucket]
-        at = np.flatnonzero(crowded)
+    at = np.flatnonzero(after[:n] != n)
+    while len(at):
+        pair = (symbols[at] << 32) | symbols[after[at]]
         # A pair of equal symbols overlaps itself: every other one counts, from the left.
-        at = at[_every_other(at, pair[at])]
-        kinds, inverse, counts = np.unique(pair[at], return_inverse=True, return_counts=True)
-        if not (counts >= MIN_COUNT).any():
+        own = _every_other(at, pair, after)
+        kinds, counts = _frequent(pair[own])
+        if not len(kinds):
             break
-        at, inverse = at[counts[inverse] >= MIN_COUNT], inverse[counts[inverse] >= MIN_COUNT]
+        inverse = _find(kinds, pair)
+        # Those that may still be replaced in a later round.
+        waiting = at[inverse >= 0]
+        own &= inverse >= 0
+        at, inverse = at[own], inverse[own]
         # Of overlapping pairs every other one is replaced, from the left of each run.
-        wins = _every_other(at, np.zeros(len(at)))
+        wins = _every_other(at, np.zeros(len(at)), after)
         used = np.bincount(inverse[wins], minlength=len(kinds)) >= LEAST_USES
         if not used.any():
             # None is left enough: the more frequent one is replaced, the most frequent always.
             rank = np.empty(len(kinds), np.int64)
             rank[np.argsort(counts, kind="stable")] = np.arange(len(kinds))
-            own = np.concatenate([[-1], rank[inverse], [-1]])
-            touch = np.concatenate([[False], np.diff(at) == 1, [False]])
-            wins = ~(touch[:-1] & (own[:-2] > own[1:-1])) & ~(touch[1:] & (own[2:] > own[1:-1]))
+            beside = np.concatenate([[-1], rank[inverse], [-1]])
+            touch = np.concatenate([[False], after[at[:-1]] == at[1:], [False]])
+            wins = ~(touch[:-1] & (beside[:-2] > beside[1:-1]))
+            wins &= ~(touch[1:] & (beside[2:] > beside[1:-1]))
             used = np.bincount(inverse[wins], minlength=len(kinds)) >= LEAST_USES
         at, inverse = at[wins], inverse[wins]
         at, inverse = at[used[inverse]], inverse[used[inverse]]
@@ -89,10 +137,19 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             [rules, np.stack([kinds[used] >> 32, kinds[used] & 0xFFFFFFFF], axis=1)]
         )
         symbols[at] = number[inverse]
-        stay = np.ones(len(symbols), bool)
-        stay[at + 1] = False
-        symbols, doc = symbols[stay], doc[stay]
-    return symbols, np.searchsorted(doc, np.arange(len(ends)), "right"), rules
+        gone = after[at]
+        stays[gone] = False
+        after[at] = after[gone]
+        before[after[at]] = at
+        after[n], before[n] = n, n
+        # A place may be next to two new symbols and wait as well.
+        marked = np.zeros(n + 1, bool)
+        marked[waiting] = marked[at] = marked[before[at]] = True
+        marked[gone] = marked[n] = False
+        at = np.flatnonzero(marked)
+        at = at[after[at] != n]
+    kept = np.concatenate([[0], np.cumsum(stays)])
+    return symbols[:n][stays], kept[ends], rules
 
 
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:
@@ -142,10 +199,11 @@ def write_tokens(
         encoder = tokenizer(tokenizer_path)
         keys: list = []
         tokens: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         held = shard = first_token = 0
 
         def flush() -> pa.RecordBatch:
-            ids, ends = np.concatenate(tokens), np.cumsum([len(t) for t in tokens])
+            ids, ends = np.concatenate(tokens), np.cumsum(np.concatenate(sizes))
             symbols, symbol_ends, rules = compress(ids, ends)
             columns = {
                 "part": part,
@@ -165,17 +223,23 @@ def write_tokens(
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for first, _, ids, ends in encode_column(encoder, batch.column(1)):
-                begin = 0
-                for row, stop in enumerate(ends.tolist()):
-                    keys.append(names[first + row])
-                    tokens.append(np.append(ids[begin:stop], np.uint32(end_id)))
-                    begin = stop
-                    held += len(tokens[-1])
+            for first, end, ids, ends in encode_column(encoder, batch.column(1)):
+                ids = np.insert(ids, ends, end_id)
+                ends = ends + np.arange(1, len(ends) + 1)
+                row = done = 0
+                # A shard ends with the document that fills it.
+                while row < end - first:
+                    full = np.searchsorted(ends, done + shard_tokens - held)
+                    stop = min(int(full) + 1, end - first)
+                    keys += names[first + row : first + stop]
+                    tokens.append(ids[done : ends[stop - 1]])
+                    sizes.append(np.diff(ends[row:stop], prepend=done))
+                    held += int(ends[stop - 1]) - done
+                    row, done = stop, int(ends[stop - 1])
                     if held >= shard_tokens:
                         yield flush()
                         first_token, shard = first_token + held, shard + 1
-                        keys, tokens, held = [], [], 0
+                        keys, tokens, sizes, held = [], [], [], 0
         if tokens:
             yield flush()
 
@@ -243,7 +307,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.to_pylist():
                 shard, start = Shard(row), row["__start"] + row["first_token"]
                 starts = start + np.cumsum(shard.doc_tokens) - shard.doc_tokens
-                crc = [zlib.crc32(shard.document(i).tobytes()) for i in range(len(starts))]
+                raw = memoryview(expand(shard.symbols, shard.rules)).cast("B")
+                bounds = (4 * np.cumsum(shard.doc_tokens)).tolist()
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip([0, *bounds], bounds)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(shard.doc_ids, pa.int64()),
