@@ -17,8 +17,8 @@ each on their own; an empty table gives no rows. Only the named columns are read
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 from adlytics.llm.common import numbered, stored
 from adlytics.llm.tokens import encode_column, tokenizer
 
+#: Ranks are joined with runs by ranges of ``2 ** RANGE_BITS``.
+RANGE_BITS = 14
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -48,33 +51,36 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(tokenizer_path)
         for batch in batches:
-            keys = batch.column(0)
+            keys = batch.column(0).cast(pa.int64())
             for first, end, ids, ends in encode_column(encoder, batch.column(1)):
-                out = {name: [] for name in ("row", "piece", "start", "length", "crc", "ids")}
-                begin = 0
-                for row, stop in enumerate(ends.tolist()):
-                    own = np.append(ids[begin:stop], np.uint32(end_id)).astype("<u4")
-                    begin = stop
-                    n = len(own)
-                    starts = [0, *range(n % capacity or capacity, n, capacity)]
-                    for piece, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
-                        out["row"].append(first + row)
-                        out["piece"].append(piece)
-                        out["start"].append(a)
-                        out["length"].append(b - a)
-                        out["crc"].append(zlib.crc32(own[a:b].tobytes()))
-                        if with_ids:
-                            out["ids"].append(own[a:b].astype(np.int64))
+                # All documents' ids one after the other, each with the end token.
+                ids = np.insert(ids, ends, end_id).astype("<u4", copy=False)
+                ends = ends + np.arange(1, len(ends) + 1)
+                sizes = np.diff(ends, prepend=0)
+                count = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), count)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                short = sizes - (count - 1) * capacity
+                start = np.where(piece > 0, short[row] + (piece - 1) * capacity, 0)
+                length = np.where(piece > 0, capacity, short[row])
+                begin = (ends - sizes)[row] + start
+                raw = memoryview(ids).cast("B")
+                crc = [
+                    zlib.crc32(raw[a:b])
+                    for a, b in zip((4 * begin).tolist(), (4 * (begin + length)).tolist())
+                ]
                 columns = [
-                    keys.take(pa.array(out["row"], pa.int64())).cast(pa.int64()),
-                    pa.array(out["piece"], pa.int32()),
-                    pa.array(out["start"], pa.int64()),
-                    pa.array(out["length"], pa.int64()),
-                    pa.array(out["crc"], pa.int64()),
+                    keys.slice(first, end - first).take(pa.array(row)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array(crc, pa.int64()),
                 ]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    columns.append(pa.array(out["ids"], pa.list_(pa.int64())))
+                    # Pieces follow one another without gaps.
+                    offsets = pa.array(np.append(begin, len(ids)), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -91,24 +97,27 @@ def best_fit_runs(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     length with these ranks go, one each, into consecutive sequences at that offset.
     """
     gaps: dict[int, list[tuple[int, int]]] = {}
-    sizes: list[int] = []
+    sizes: list[int] = []  # The gaps in use, ascending.
     runs: list[tuple[int, int, int, int, int]] = []
     sequences = 0
 
     def free(gap: int, first: int, n: int) -> None:
         if gap and n:
-            gaps.setdefault(gap, []).append((first, n))
+            if gap not in gaps:
+                gaps[gap] = []
+                insort(sizes, gap)
+            gaps[gap].append((first, n))
 
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
-        sizes = sorted(g for g in gaps if g >= length and gaps[g])
-        heapify(sizes)
         while left:
-            while sizes and not gaps[sizes[0]]:
-                heappop(sizes)
-            if sizes:
-                gap = sizes[0]
+            # The successor of the length among the gaps.
+            at = bisect_left(sizes, length)
+            if at < len(sizes):
+                gap = sizes[at]
                 first, n = gaps[gap].pop()
+                if not gaps[gap]:
+                    del gaps[gap], sizes[at]
             else:
                 # No gap is large enough: open sequences for all that is left.
                 gap = capacity
@@ -129,7 +138,6 @@ def best_fit_runs(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
                 rank, left, used = rank + left, 0, used + 1
             if used < n:
                 free(gap, first + used, n - used)
-                heappush(sizes, gap)
     return runs
 
 
@@ -147,21 +155,22 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
     before, total = {}, 0
     for size in sorted(counts):
         before[size], total = total, total + counts[size]
-    rows = [
-        (size, before[size] + rank, before[size] + rank + n, first, offset)
-        for size, rank, n, first, offset in best_fit_runs(counts, capacity)
-    ]
-    runs = spark.createDataFrame(
-        rows, "__length bigint, __from bigint, __to bigint, __first bigint, __offset bigint"
-    )
+    found = np.array(best_fit_runs(counts, capacity), np.int64).reshape(-1, 5)
+    start = np.array([before[size] for size in found[:, 0].tolist()], np.int64) + found[:, 1]
+    columns = (start, start + found[:, 2], found[:, 3], found[:, 4])
+    names = ("__from", "__to", "__first", "__offset")
+    runs = spark.createDataFrame(pa.table(dict(zip(names, columns))))
+    # By equality on a range of ranks: Spark chooses how to join, by the size of the runs.
+    first, last = F.shiftright("__from", RANGE_BITS), F.shiftright(F.col("__to") - 1, RANGE_BITS)
+    runs = runs.withColumn("__range", F.explode(F.sequence(first, last)))
     in_run = (
-        (F.col(length) == F.col("__length"))
+        (F.shiftright("__rank", RANGE_BITS) == F.col("__range"))
         & (F.col("__rank") >= F.col("__from"))
         & (F.col("__rank") < F.col("__to"))
     )
     return (
-        ranked.join(F.broadcast(runs), in_run)
+        ranked.join(runs, in_run)
         .withColumn("sequence_id", F.col("__first") + F.col("__rank") - F.col("__from"))
         .withColumn("offset", F.col("__offset"))
-        .drop("__rank", "__length", "__from", "__to", "__first", "__offset")
+        .drop("__rank", "__from", "__to", "__first", "__offset", "__range")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -48,6 +49,18 @@ def test_real_texts_encode_alike(pairs, monkeypatch):
             assert encoded(path, texts) == direct(path, texts)
 
 
+def test_units_that_give_way_are_encoded_anew(pairs, monkeypatch):
+    texts = [t for _, t in pairs[:200]]
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(tokens, "REMEMBERED", 1500)
+    encoder = tokens.Encoder(BYTES)
+    got = []
+    for _, _, ids, ends in tokens.encode_column(encoder, pa.array(texts, pa.string())):
+        got += [x.tolist() for x in np.split(ids, ends[:-1])]
+    assert got == direct(BYTES, texts)
+    assert len(encoder.known) == len(encoder.sizes) == len(encoder.seen)
+
+
 def best_fit_sequences(counts, capacity):
     """Best-fit decreasing, one piece at a time."""
     gaps = []
@@ -87,6 +100,42 @@ def test_class_rounds_are_best_fit_decreasing(seed):
     assert len(taken) == sequences and sorted(capacity - f for f in fill) == gaps
 
 
+def test_rounds_at_a_large_capacity():
+    """The driver's state is bounded by the capacity, whatever the number of pieces."""
+    rng = np.random.default_rng(0)
+    capacity = 131_072
+    drawn = np.clip(np.exp(rng.normal(8, 1.3, 500_000)).astype(int), 1, capacity)
+    for times in (1, 10**6):
+        counts = {n: c * times for n, c in Counter(drawn.tolist()).items()}
+        begun = time.time()
+        runs = np.array(best_fit.best_fit_runs(counts, capacity))
+        assert time.time() - begun < 60
+        assert runs[:, 2].sum() == sum(counts.values())
+        # A few dozen runs for each length there is.
+        assert len(runs) < 48 * len(counts)
+        words = sum(n * c for n, c in counts.items())
+        used = int((runs[:, 3] + runs[:, 2]).max())
+        assert used < 1.02 * words / capacity + 1
+
+
+def test_packing_without_broadcast(spark):
+    rows = [(i, 0, 0, 1 + i * 37 % 500) for i in range(3000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        packed = best_fit.pack(pieces, 1024)
+        fill = Counter()
+        for r in packed.collect():
+            fill[r.sequence_id] += r.length
+        text = packed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(fill.values()) == sum(r[3] for r in rows) and max(fill.values()) <= 1024
+    assert len(fill) == best_fit_sequences(Counter(r[3] for r in rows), 1024)[0]
+    assert "SortMergeJoin" in text and "NestedLoop" not in text
+
+
 @pytest.mark.parametrize("source", ["plain", "awkward", "empty"])
 def test_packing(source, documents, pairs, awkward, awkward_pairs, empty):
     df, rows = {"plain": (documents, pairs), "awkward": (awkward, awkward_pairs), "empty": (empty, [])}[source]
@@ -138,6 +187,20 @@ def test_grammar_round_trip(seed):
     assert len(symbols) < len(ids)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_rounds_look_at_every_frequent_pair(seed):
+    """The same symbols as rounds over all places."""
+    rng = np.random.default_rng(seed)
+    docs = [rng.integers(0, rng.choice([1, 2, 5, 300]), n) for n in rng.integers(0, 900, 20)]
+    docs += [np.tile(rng.integers(0, 9, 7), 60), np.zeros(0, np.int64)]
+    ids, ends = np.concatenate(docs), np.cumsum([len(d) for d in docs])
+    symbols, symbol_ends, rules = repair_store.compress(ids, ends)
+    again, again_ends, more = repair_store.compress(symbols, symbol_ends)
+    # Nothing frequent is left, so nothing is found by looking at all places once more.
+    assert len(more) == 0 and (again == symbols).all() and (again_ends == symbol_ends).all()
+    assert (repair_store.expand(symbols, rules) == ids).all()
+
+
 @pytest.mark.parametrize("source", ["plain", "awkward", "empty"])
 def test_token_files(source, spark, tmp_path, documents, pairs, awkward, awkward_pairs, empty):
     df, rows = {"plain": (documents, pairs), "awkward": (awkward, awkward_pairs), "empty": (empty, [])}[source]
