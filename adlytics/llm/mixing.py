@@ -6,9 +6,11 @@
    length. A block is a list of spans of documents; text is not moved.
 3. Draws: the mix has as many slots as targets ask for, in output shards of ``shard_slots``.
    Each shard draws how many slots each source gets: multinomial counts, drawn under the
-   condition that all shards together meet the targets. They are split down a binary tree
-   of shards, each node seeded by its place, so any shard finds its counts and the slots
-   before it alone, and a rerun or a lost task draws the same.
+   condition that all shards together meet the targets. The slots of all sources stand in
+   one row, source after source; a pseudorandom permutation, computed and not stored, deals
+   them to the shards, and a shard counts what it is dealt. That is the draw without
+   replacement itself, the same at every size; any shard finds its counts, and which slots
+   of a source they are, alone, and a rerun or a lost task draws the same.
 4. Permutation: the slots of a source, counted over all shards, walk through its blocks in
    epochs; inside an epoch a pseudorandom permutation of the block numbers, computed and
    not stored, says which block a slot takes. So no block is taken twice as often as
@@ -91,40 +93,16 @@ def permuted(index: np.ndarray, n: int, key: str) -> np.ndarray:
         out[outside] = once(out[outside])
 
 
-def shard_counts(
+def shard_draw(
     slots: np.ndarray, shard_slots: int, shard: int, seed: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of each source in a shard, and before it: draws down the tree of shards."""
-    counts, before = slots.astype(np.int64), np.zeros(len(slots), np.int64)
-    total = int(counts.sum())
-    low, high = 0, -(-total // shard_slots)
-    while high - low > 1:
-        mid = (low + high) // 2
-        take = (mid - low) * shard_slots
-        rng = np.random.Generator(np.random.Philox(key=[seed, (low << 32) ^ high]))
-        left = _hypergeometric(rng, counts, take)
-        if shard < mid:
-            counts, high = left, mid
-        else:
-            counts, before, low = counts - left, before + left, mid
-    return counts, before
-
-
-def _hypergeometric(rng: np.random.Generator, counts: np.ndarray, take: int) -> np.ndarray:
-    """A draw of ``take`` slots without replacement, by source; beyond the generator's
-    range a normal approximation, kept inside the counts."""
-    out, left, pool = np.zeros_like(counts), int(take), int(counts.sum())
-    for i, n in enumerate(counts.tolist()):
-        rest = pool - n
-        if pool < 10**9:
-            drawn = int(rng.hypergeometric(n, rest, left)) if left and n else 0
-        else:
-            mean = left * n / pool
-            spread = (mean * (rest / pool) * ((pool - left) / max(pool - 1, 1))) ** 0.5
-            drawn = round(rng.normal(mean, spread))
-        drawn = min(max(drawn, left - rest, 0), n, left)
-        out[i], left, pool = drawn, left - drawn, rest
-    return out
+    """(source, number among the source's slots) of each slot of a shard."""
+    stops = np.cumsum(slots.astype(np.int64))
+    total = int(stops[-1])
+    places = np.arange(shard * shard_slots, min((shard + 1) * shard_slots, total))
+    dealt = permuted(places, total, f"{seed}/slots")
+    source = np.searchsorted(stops, dealt, "right")
+    return source, dealt - (stops - slots)[source]
 
 
 def measured(docs: DataFrame, doc_id: str, source: str, text: str) -> DataFrame:
@@ -228,33 +206,28 @@ def mixed_slots(
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                own, before = shard_counts(slots, shard_slots, shard, seed)
-                numbers = np.repeat(np.arange(len(own)), own)
-                taken = np.concatenate(
-                    [slot_blocks(i, int(before[i]), int(n)) for i, n in enumerate(own) if n]
-                )
-                order = np.random.Generator(np.random.Philox(key=[seed ^ 1, shard]))
-                slot = order.permutation(len(numbers))
+                numbers, ordinals = shard_draw(slots, shard_slots, shard, seed)
+                taken = np.empty(len(numbers), np.int64)
+                for source in np.unique(numbers).tolist():
+                    own = numbers == source
+                    taken[own] = slot_blocks(source, ordinals[own])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(numbers), shard)),
-                        pa.array(slot.astype(np.int64)),
+                        pa.array(np.arange(len(numbers))),
                         pa.array(numbers.astype(np.int64)),
                         pa.array(taken),
                     ],
                     names=["shard", "slot", "source_no", "block"],
                 )
 
-    def slot_blocks(source: int, first: int, n: int) -> np.ndarray:
-        """Blocks of the source's slots ``first`` to ``first + n``, epoch by epoch."""
-        ordinal = np.arange(first, first + n)
+    def slot_blocks(source: int, ordinal: np.ndarray) -> np.ndarray:
+        """Blocks of slots of a source, epoch by epoch."""
         epoch, index = ordinal // blocks[source], ordinal % blocks[source]
-        return np.concatenate(
-            [
-                permuted(index[epoch == e], blocks[source], f"{seed}/{source}/{e}")
-                for e in np.unique(epoch)
-            ]
-        )
+        taken = np.empty(len(ordinal), np.int64)
+        for e in np.unique(epoch).tolist():
+            taken[epoch == e] = permuted(index[epoch == e], blocks[source], f"{seed}/{source}/{e}")
+        return taken
 
     parts = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return spark.range(0, shards, 1, parts).mapInArrow(

@@ -41,13 +41,35 @@ def test_permutations_hit_every_index_once(n):
 def test_shard_draws_meet_the_totals():
     slots = np.array([1000, 0, 37, 512, 3])
     shards = -(-int(slots.sum()) // 64)
-    drawn = [mixing.shard_counts(slots, 64, i, 7) for i in range(shards)]
-    before = np.zeros(5, np.int64)
-    for own, start in drawn:
-        assert (start == before).all() and own.sum() <= 64
-        before += own
-    assert (before == slots).all()
-    assert len({tuple(own) for own, _ in drawn}) > 5
+    drawn = [mixing.shard_draw(slots, 64, i, 7) for i in range(shards)]
+    seen = Counter((s, o) for own in drawn for s, o in zip(*(x.tolist() for x in own)))
+    # Every slot of every source is dealt once.
+    assert seen == Counter((i, o) for i, n in enumerate(slots) for o in range(n))
+    assert [len(s) for s, _ in drawn] == [64] * (shards - 1) + [int(slots.sum()) % 64 or 64]
+    assert len({tuple(np.bincount(s, minlength=5)) for s, _ in drawn}) > 5
+    again = mixing.shard_draw(slots, 64, 3, 7)
+    assert all((a == b).all() for a, b in zip(drawn[3], again))
+    assert not all((a == b).all() for a, b in zip(again, mixing.shard_draw(slots, 64, 3, 8)))
+
+
+@pytest.mark.parametrize("scale", [10**3, 10**8, 10**9 + 7, 10**12, 10**17])
+def test_draws_follow_one_law_at_every_size(scale):
+    """Counts of 1,024 slots: mean and spread of draws without replacement."""
+    slots = np.array([6, 3, 1]) * scale
+    total, shards = int(slots.sum()), 300
+    step = max(1, total // 1024 // shards)
+    counts = np.array(
+        [
+            np.bincount(mixing.shard_draw(slots, 1024, i * step, 11)[0], minlength=3)
+            for i in range(min(shards, total // 1024))
+        ]
+    )
+    share = slots / total
+    left = (total - 1024) / (total - 1)
+    spread = np.sqrt(1024 * share * (1 - share) * left)
+    assert (np.abs(counts.mean(axis=0) - 1024 * share) < 5 * spread / np.sqrt(len(counts)) + 1e-9).all()
+    if len(counts) > 100:
+        assert (np.abs(counts.std(axis=0) / spread - 1) < 0.25).all()
 
 
 @pytest.mark.parametrize("source", ["plain", "awkward", "empty"])
