@@ -53,11 +53,13 @@ def finite_vector(vector: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where the session names none."""
+    """The folder all executors share: the session's, or a local one where all is one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         folder = tempfile.mkdtemp(prefix="checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

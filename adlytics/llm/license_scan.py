@@ -9,7 +9,10 @@ somewhere exactly where one diagonal has all its windows. A diagonal that alone
 is verified before any merging, so that a mention close by cannot take it away.
 
 Only hits are grouped, so frequent words cost nothing after the join; a text's hits are
-bounded by its own length. The template table is broadcast (a few hundred rows).
+bounded by its own length. Templates are a table (label, exact, wording), whole licenses too:
+the phrases and notices below where none is given. Up to ``LISTED`` of its windows are
+looked up where they stand in a text, and broadcast; a larger table meets all windows of
+the texts in a join whose sides Spark chooses by their sizes.
 
 Defined results: NULL text is empty and has no words. Rows with equal id and text get equal
 results. An empty table gives no rows. Only the named columns are read. Windows are
@@ -18,14 +21,14 @@ compared by 64-bit hash and then by their words.
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlytics.llm.common import lower_ascii, rolling_hashes
 
 K = 3
+#: Windows of templates that are listed in the plan and broadcast.
+LISTED = 20_000
 #: Diagonals at most so far apart are one span.
 DRIFT = 4
 #: Share of a template's windows a span must hold, and its length in template lengths.
@@ -76,35 +79,50 @@ def alnum_words(text: Column) -> Column:
     return F.filter(F.split(lowered, SEPARATORS), lambda w: w != "")
 
 
-def template_windows(spark) -> DataFrame:
-    """(template, label, exact, windows, at, hash, words): each window of each template."""
-    rows = []
-    for exact, group in ((True, PHRASES), (False, NOTICES)):
-        for label, wording in group:
-            own = re.findall(r"[0-9a-z]+", wording)
-            rows.append((len(rows), label, exact, len(own) - K + 1, own))
-    templates = spark.createDataFrame(
-        rows, "template int, label string, exact boolean, windows int, w array<string>"
+def common_templates(spark: SparkSession) -> DataFrame:
+    """(label, exact, wording) of the phrases and notices above."""
+    rows = [(label, True, wording) for label, wording in PHRASES]
+    rows += [(label, False, wording) for label, wording in NOTICES]
+    return spark.createDataFrame(rows, "label string, exact boolean, wording string")
+
+
+def template_windows(templates: DataFrame) -> DataFrame:
+    """(template, label, exact, windows, at, hash, words): each window of each template.
+
+    A template is told by its hash; one of fewer than ``K`` words has no window.
+    """
+    return (
+        templates.select("label", "exact", alnum_words(F.col("wording")).alias("w"))
+        .distinct()
+        .withColumn("template", F.xxhash64("label", "exact", "w"))
+        .withColumn("windows", F.size("w") - (K - 1))
+        .select(
+            "template",
+            "label",
+            "exact",
+            "windows",
+            "w",
+            F.posexplode(rolling_hashes("w", K)).alias("at", "hash"),
+        )
+        .withColumn("words", F.slice("w", F.col("at") + 1, K))
+        .drop("w")
     )
-    return templates.select(
-        "template",
-        "label",
-        "exact",
-        "windows",
-        "w",
-        F.posexplode(rolling_hashes("w", K)).alias("at", "hash"),
-    ).withColumn("words", F.slice("w", F.col("at") + 1, K)).drop("w")
 
 
-def verified_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def verified_spans(
+    docs: DataFrame, doc_id: str, text: str, templates: DataFrame | None = None
+) -> DataFrame:
     """(doc, row, label, exact, start, coverage) of every verified span."""
     content = F.coalesce(F.col(text), F.lit(""))
-    templates = template_windows(docs.sparkSession)
-    known = [r["hash"] for r in templates.select("hash").distinct().collect()]
-    # Words are cut out where a hash is a template's only.
-    places = F.filter(
-        F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get("h", i).isin(known)
-    )
+    if templates is None:
+        templates = common_templates(docs.sparkSession)
+    templates = template_windows(templates)
+    known = [r["hash"] for r in templates.select("hash").distinct().limit(LISTED + 1).collect()]
+    places = F.sequence(F.lit(0), F.size("h") - 1)
+    if len(known) <= LISTED:
+        # Words are cut out where a hash is a template's only.
+        places = F.filter(places, lambda i: F.get("h", i).isin(known))
+        templates = F.broadcast(templates)
     window = lambda i: F.struct(
         i.alias("pos"), F.get("h", i).alias("hash"), F.slice("w", i + 1, K).alias("words")
     )
@@ -119,7 +137,7 @@ def verified_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         # Outer: else the planner tests that hits exist by building them once more for each.
         .select("doc", "row", F.explode_outer(F.transform("places", window)).alias("hit"))
         .select("doc", "row", "hit.*")
-        .join(F.broadcast(templates), ["hash", "words"])
+        .join(templates, ["hash", "words"])
     )
     span = ["doc", "row", "template", "label", "exact", "windows"]
     votes = hits.groupBy(*span, (F.col("pos") - F.col("at")).alias("diagonal")).agg(
@@ -154,10 +172,15 @@ def verified_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return alone.union(notices).select("doc", "row", "label", "exact", "start", "coverage")
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    templates: DataFrame | None = None,
+) -> DataFrame:
     """Words, phrase places, labels and score of every document."""
     content = F.coalesce(F.col(text), F.lit(""))
-    spans = verified_spans(docs, doc_id, text)
+    spans = verified_spans(docs, doc_id, text, templates)
     base = F.when(F.col("exact"), F.col("start")).cast("bigint")
     labels = lambda kept: F.array_join(F.array_sort(F.collect_set(kept)), ",")
     found = (

@@ -1,7 +1,8 @@
 """SQL for the operators' queries, where SQL can say it.
 
-Mixing, packing, token files and approximate search have none (random draws, tokenizers,
-recall); sharding has none as SQL lacks the checksum. Their tests compare with plain Python.
+Mixing, packing, token files, approximate search and whitening have none (random draws,
+tokenizers, recall, eigenvectors); sharding has none, as a checksum of whole texts is too
+slow in SQL. Their tests compare with plain Python, round trips or recall.
 """
 
 from __future__ import annotations
@@ -117,9 +118,11 @@ votes AS (
            list(DISTINCT spot) AS spots_hit, min(i) AS first_i, max(i) AS last_i
     FROM windows JOIN spots USING (a, b, c) GROUP BY ALL
 ),
-phrases AS (
-    SELECT doc_id, label, true AS exact, diagonal AS start, 1.0::DOUBLE AS coverage
-    FROM votes WHERE exact AND n = windows
+alone AS (
+    SELECT doc_id, label, exact, diagonal AS start, (n / windows)::DOUBLE AS coverage
+    FROM votes
+    WHERE n / windows >= CASE WHEN exact OR windows <= {license_scan.SHORT} THEN 1.0
+                              ELSE {license_scan.COVERAGE} END
 ),
 fresh AS (
     SELECT *, coalesce(diagonal - lag(diagonal) OVER near > {license_scan.DRIFT}, true)::INT AS begins
@@ -140,7 +143,7 @@ notices AS (
                                  ELSE {license_scan.COVERAGE} END
       AND last_i - first_i + 1 <= {license_scan.STRETCH} * windows + 1
 ),
-every AS (SELECT * FROM phrases UNION ALL SELECT * FROM notices)
+every AS (SELECT * FROM alone UNION ALL SELECT * FROM notices)
 SELECT doc_id, any_value(len(w))::BIGINT AS n_words, count(start) FILTER (exact) AS n_base,
        (min(start) FILTER (exact))::BIGINT AS first_word,
        (max(start) FILTER (exact))::BIGINT AS last_word,
@@ -253,10 +256,33 @@ WHERE w.nodes = 1
 """
 
 
+# Sums of products of whole numbers are exact in doubles here.
+PIVOT_SEARCH = """
+WITH valid AS (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x,
+           row_number() OVER () AS row
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, q.row AS query, c.vec_id, c.row,
+           list_inner_product(q.x, c.x)::BIGINT AS score
+    FROM valid q JOIN valid c ON c.row <> q.row AND len(c.x) = len(q.x)
+    WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, row) AS rank
+    FROM scored
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op4_signature_trees": SIGNATURE_TREES,
     "op5_line_dedup": LINE_DEDUP,
     "op6_license_scan": LICENSE_SCAN,
     "op9_line_rules": LINE_RULES,
     "op11_merkle_manifest": MERKLE,
+    "op12_pivot_search": PIVOT_SEARCH,
 }

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 
 import brute
+import duckdb
 import pytest
 
-from adlytics.llm import license_scan
+from adlytics.llm import license_scan, oracles
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -87,6 +88,51 @@ def test_mentions_close_to_each_other_stay(spark):
     assert got == {1: own, 2: own, 3: ("gpl-2", 1.0), 4: ("mpl-2", 1.0), 5: ("", 0.0), 6: own}
 
 
+def test_rows_of_all_kinds_equal_the_sql(spark, awkward):
+    """The rules of notices, each on its own, against the SQL."""
+    wording = dict((label, text) for label, text in license_scan.NOTICES)
+    bsd, mpl = wording["bsd"].split(), wording["mpl-2"]
+    texts = [
+        "All rights reserved. Acme. All rights reserved",
+        "All rights reserved. " * 50,
+        "all rights are reserved and all rights",
+        f"{mpl} v 2 0 x v 2 0 x x x",
+        "the gnu general public license gnu general public license version 2",
+        " ".join([*bsd[:8], "or", "maybe", *bsd[8:14], *bsd[15:]]),
+        " x y z ".join(" ".join(bsd[i : i + 3]) for i in range(0, len(bsd), 3)),
+        " ".join(bsd[:12]), " ".join(bsd[:6]), " ".join(bsd + bsd),
+        "under the MIT license", "cc by nc cc by nc",
+    ]
+    ids = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    one_each = awkward.where("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", "text")
+    df = one_each.union(ids)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [tuple(r) for r in df.collect()])
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({oracles.LICENSE_SCAN})").fetchall()
+    found = license_scan.scan(df).withColumnRenamed("doc", "doc_id").select(columns).collect()
+    cells = lambda rows: sorted((*r[:-1], round(r[-1], 9)) for r in map(tuple, rows))
+    assert cells(found) == cells(want)
+    labels = {r.doc_id: r.labels for r in found}
+    assert labels[1000] == "all-rights-reserved" and labels[1002] == ""
+
+
+@pytest.mark.parametrize("listed", [20_000, 3])
+def test_templates_are_a_table(listed, spark, monkeypatch):
+    monkeypatch.setattr(license_scan, "LISTED", listed)
+    license_text = " ".join(f"word{i}" for i in range(400))
+    templates = spark.createDataFrame(
+        [("own-1", False, f"{license_text}. THE END"), ("own-2", True, "Free as in Beer!"), ("short", True, "mit"),
+         ("own-2", True, "free as in beer")],
+        "label string, exact boolean, wording string",
+    )
+    rows = [(1, f"x {license_text[:2800]} y"), (2, "free as in beer, free as in speech"), (3, "mit"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc: (r.labels, r.n_base, r.first_word) for r in license_scan.scan(df, templates=templates).collect()}
+    assert got == {1: ("own-1", 0, None), 2: ("own-2", 1, 0), 3: ("", 0, None), 4: ("", 0, None)}
+
+
 def test_windows_of_one_hash_are_told_apart_by_their_words(spark, monkeypatch):
     from pyspark.sql import functions as F
 

@@ -21,7 +21,8 @@ def cells(rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(name, spark):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     con.execute(f"CREATE TABLE want AS {ORACLES[name]}")
     columns = [r[0] for r in con.execute("DESCRIBE want").fetchall()]
     got = QUERIES[name](spark, SF)
