@@ -38,6 +38,11 @@ def main(arguments: list[str] | None = None) -> None:
         metavar="TABLE=LAYOUT",
         help=f"how a table was stored: {', '.join(LAYOUTS)}",
     )
+    parser.add_argument(
+        "--daily",
+        action="store_true",
+        help="keep one report per day below the output; a repeated run replaces its own day",
+    )
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"adlytics {options.report}").getOrCreate()
@@ -55,7 +60,8 @@ def main(arguments: list[str] | None = None) -> None:
         options.partitioned,
         dict(options.layout),
     )
-    write_report(report.build(tables, options.as_of), options.output)
+    result = report.build(tables, options.as_of)
+    write_report(result, options.output, as_of=options.as_of if options.daily else None)
 
 
 if __name__ == "__main__":

@@ -161,11 +161,18 @@ def duplicate_ip_sources(
         period.since(installs, "install_time", period.days_before(as_of, days))
         .where(~F.col("source_provider_id").isin(*excluded_providers))
         .groupBy(*SUB_PUBLISHER_COUNTRY, "ip")
-        .agg(F.count("ip").alias("__uses"))
+        .agg(F.count("ip").alias("uses"))
     )
+    return reused_ips(per_ip, apps, min_total, max_ratio)
+
+
+def reused_ips(
+    per_ip: DataFrame, apps: DataFrame, min_total: int, max_ratio: Decimal
+) -> DataFrame:
+    """Sources with few distinct IPs, from one row (source, IP, uses) each."""
     reused = (
         per_ip.groupBy(*SUB_PUBLISHER_COUNTRY)
-        .agg(F.sum("__uses").alias("total_ips"), F.count("ip").alias("distinct_ips"))
+        .agg(F.sum("uses").alias("total_ips"), F.count("ip").alias("distinct_ips"))
         .where(
             (F.col("total_ips") >= min_total)
             & (F.col("total_ips") > 0)
@@ -209,6 +216,11 @@ def installs_without_events(
         .groupBy(*SUB_PUBLISHER_COUNTRY)
         .agg(F.count("install_time").alias("events"))
     )
+    return without_events(counted, active)
+
+
+def without_events(counted: DataFrame, active: DataFrame) -> DataFrame:
+    """Counted sources that are not among the active ones, in report order."""
     return (
         counted.join(active, list(SUB_PUBLISHER_COUNTRY), "left_anti")
         .select(*SUB_PUBLISHER, "installs", F.lit(None).cast("long").alias("events"))
@@ -227,19 +239,32 @@ def aggregated_no_events(
 
     Organic traffic is exempt only where events are absent altogether.
     """
+    recent = period.since_day(daily_events, "date", period.days_before(as_of, days))
+    return silent_sources(
+        export_totals(recent, EXPORT_SOURCE, excluded_sources), min_installs
+    )
+
+
+def export_totals(
+    daily_events: DataFrame, keys: Sequence[str], excluded_sources: Sequence[str]
+) -> DataFrame:
+    """Installs and events of the daily export by ``keys``."""
     is_install = F.col("event_name") == "installs"
-    totals = (
-        period.since_day(daily_events, "date", period.days_before(as_of, days))
-        .where(
+    return (
+        daily_events.where(
             ~F.col("event_name").isin(*NON_EVENT_NAMES)
             & ~F.col("media_source").isin(*excluded_sources)
         )
-        .groupBy(*EXPORT_SOURCE)
+        .groupBy(*keys)
         .agg(
             F.sum(F.when(is_install, F.col("count"))).alias("installs"),
             F.sum(F.when(~is_install, F.col("count"))).alias("events"),
         )
     )
+
+
+def silent_sources(totals: DataFrame, min_installs: int) -> DataFrame:
+    """Sources with enough installs whose events are zero or absent."""
     silent = (F.col("events") == 0) | (
         F.col("events").isNull() & (F.col("media_source") != ORGANIC)
     )

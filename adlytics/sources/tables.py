@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from adlytics.functions.latency import CLICK_TIME, clicked
 from adlytics.functions.period import CLICK_DAY_PARTITION, DAY_PARTITION
 from adlytics.sources.schemas import SCHEMAS
 
+AS_OF_PARTITION = "as_of"
 #: Columns a stored table has besides those of its schema, by layout.
 LAYOUTS: dict[str, str] = {
     "plain": "",
@@ -45,37 +47,54 @@ def read_tables(
     }
 
 
-def write_fact(facts: DataFrame, path: str, timestamp: str) -> None:
+def write_fact(facts: DataFrame, path: str, timestamp: str, rewrite: bool = False) -> None:
     """Writes a fact table as Parquet, partitioned by the day of ``timestamp``.
 
     Rows are brought together by day and in pieces of about the advisory partition size,
-    so that a day holding much of the table is written by several tasks.
+    so that a day holding much of the table is written by several tasks. With ``rewrite``
+    the days that ``facts`` holds replace those stored before, and other days stay: a
+    repeated run of a day leaves the table as the first one did. Without it an existing
+    table raises.
     """
-    (
-        facts.withColumn(DAY_PARTITION, F.to_date(timestamp))
-        .hint("rebalance", DAY_PARTITION)
-        .write.mode("error")
-        .partitionBy(DAY_PARTITION)
-        .parquet(path)
-    )
+    _by_day(facts.withColumn(DAY_PARTITION, F.to_date(timestamp)), path, DAY_PARTITION, rewrite)
 
 
-def write_clicks(installs: DataFrame, path: str, strict: bool = False) -> None:
+def write_clicks(
+    installs: DataFrame, path: str, strict: bool = False, rewrite: bool = False
+) -> None:
     """Writes installs with their click time as a column, partitioned by the click's day.
 
     The click-to-install report then reads the days of its window instead of all history.
-    Installs without a click time are in a partition of their own.
+    Installs without a click time are in a partition of their own. ``rewrite`` is that of
+    ``write_fact``, by click day.
     """
+    clicks = installs.withColumn(CLICK_TIME, clicked(installs, strict)).withColumn(
+        CLICK_DAY_PARTITION, F.to_date(CLICK_TIME)
+    )
+    _by_day(clicks, path, CLICK_DAY_PARTITION, rewrite)
+
+
+def _by_day(rows: DataFrame, path: str, day: str, rewrite: bool) -> None:
     (
-        installs.withColumn(CLICK_TIME, clicked(installs, strict))
-        .withColumn(CLICK_DAY_PARTITION, F.to_date(CLICK_TIME))
-        .hint("rebalance", CLICK_DAY_PARTITION)
-        .write.mode("error")
-        .partitionBy(CLICK_DAY_PARTITION)
+        rows.hint("rebalance", day)
+        .write.mode("overwrite" if rewrite else "error")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day)
         .parquet(path)
     )
 
 
-def write_report(report: DataFrame, path: str, target_format: str = "parquet") -> None:
-    """Writes a report; an existing one is left alone and raises."""
-    report.write.mode("error").format(target_format).save(path)
+def write_report(
+    report: DataFrame, path: str, target_format: str = "parquet", as_of: date | None = None
+) -> None:
+    """Writes a report; an existing one is left alone and raises.
+
+    With ``as_of`` the report is one of a series of days below ``path``: that day is
+    replaced, by an empty report too, and the others stay. Reading ``path`` gives all days,
+    with their date as the column ``as_of``.
+    """
+    if as_of is None:
+        report.write.mode("error").format(target_format).save(path)
+    else:
+        own = f"{path.rstrip('/')}/{AS_OF_PARTITION}={as_of.isoformat()}"
+        report.write.mode("overwrite").format(target_format).save(own)

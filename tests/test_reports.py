@@ -94,9 +94,9 @@ def test_command_line_reads_installs_by_click_day(spark, root, tmp_path, monkeyp
             write_clicks(df, f"{stored}/{name}")
     written = {}
 
-    def keep(report, path):
+    def keep(report, path, **how):
         written[path] = plan(report)
-        write_report(report, path)
+        write_report(report, path, **how)
 
     monkeypatch.setattr("adlytics.__main__.write_report", keep)
     given = ["click_to_install", "--as-of", "2016-12-10"]
@@ -111,3 +111,17 @@ def test_command_line_reads_installs_by_click_day(spark, root, tmp_path, monkeyp
     assert "click_day_partition#" in text
     with pytest.raises(SystemExit):
         main([*given, "--tables", stored, "--output", "x", "--layout", "apps_flyer_data=weekly"])
+
+
+def test_daily_reports_replace_their_own_day_only(spark, root, tmp_path):
+    output = f"{tmp_path}/daily"
+    given = ["duplicate_ips", "--tables", root, "--output", output, "--daily", "--as-of"]
+    for day in ("2016-12-10", "2016-12-11", "2030-01-01"):
+        main([*given, day])
+    before = rows(spark.read.parquet(output))
+    assert [(r[-1].isoformat(), r[6]) for r in before] == [("2016-12-10", 21), ("2016-12-11", 21)]
+    main([*given, "2016-12-11"])
+    assert rows(spark.read.parquet(output)) == before
+    # A day whose report is now empty leaves no rows of the earlier run.
+    write_report(spark.read.parquet(output).drop("as_of").limit(0), output, as_of=date(2016, 12, 11))
+    assert [r[-1].isoformat() for r in rows(spark.read.parquet(output))] == ["2016-12-10"]

@@ -123,3 +123,36 @@ def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert len(list((tmp_path / "hot" / "day_partition=2024-01-02").glob("*.parquet"))) > 3
+
+
+@pytest.mark.parametrize("kind", ["fact", "clicks"])
+def test_a_repeated_run_of_a_day_leaves_the_others(spark, tmp_path, kind):
+    def installs(days, ip):
+        return spark.createDataFrame(
+            [(1, "c", "net", "pub", "sub", "US", datetime(2024, 1, day, 12), 1, ip,
+              f'{{"Click Time": "2024-01-{day:02d} 11:00:00"}}') for day in days],
+            SCHEMAS["apps_flyer_data"],
+        )
+
+    def write(df, **how):
+        if kind == "fact":
+            write_fact(df, f"{tmp_path}/apps_flyer_data", "install_time", **how)
+        else:
+            write_clicks(df, f"{tmp_path}/apps_flyer_data", **how)
+
+    def stored():
+        layout = {"apps_flyer_data": "day" if kind == "fact" else "click_day"}
+        found = read_tables(spark, str(tmp_path), ["apps_flyer_data"], layouts=layout)
+        return rows(found["apps_flyer_data"], "install_time", "ip")
+
+    write(installs([1, 2, 3], "old"))
+    with pytest.raises(Exception, match="already exists"):
+        write(installs([2], "new"))
+    for _ in range(2):
+        write(installs([2, 4], "new"), rewrite=True)
+        assert stored() == [
+            (datetime(2024, 1, 1, 12), "old"), (datetime(2024, 1, 2, 12), "new"),
+            (datetime(2024, 1, 3, 12), "old"), (datetime(2024, 1, 4, 12), "new"),
+        ]
+    write(installs([], "none"), rewrite=True)
+    assert len(stored()) == 4
