@@ -3,15 +3,21 @@
 Documents with equal sets are one class. Two different sets that link must share one of
 the first few tokens of each (the part a set may lose and still link), in any order of
 tokens that is the same for all; tokens found in many sets come last in that order. Every
-token so shared has a tree over its classes: leaves hold sets sorted by size, a node the
-OR of the token bitmaps below it and their range of sizes. Two nodes are traversed together:
+token so shared has a tree over its classes (tokens shared by the very same classes have one
+together): leaves hold sets sorted by size, a node the OR of the token bitmaps below it and
+their range of sizes. Two nodes are traversed together:
 a pair goes when the sizes cannot link, when the bitmaps leave too little possible overlap,
 or when both lie in one known component. Surviving pairs are checked on the whole sets.
 
 Hot tokens: members of a token are dealt into blocks of at most ``BLOCK`` sets of about the
 same size, and each pair of blocks of neighbouring sizes is a task of its own. Before the
-trees, every member is compared with one member of its token, so that a large group of near
-copies is one component when its trees are traversed and needs no pairs among itself.
+trees, every class is compared with the first members of its tokens (``SPOKES`` of them at
+most), so that a large group of near copies is one component when its trees are traversed
+and needs no pairs among itself.
+
+Texts are split once: what is stored of a set are its size, digest, bitmaps and a few more
+tokens than its first ones, from which these follow when the frequent tokens are known. Only
+sets of mostly frequent tokens, and those of pairs left to be checked, are made again.
 
 Exact: no link is lost. A shingle is its 64-bit hash; among the shingles of two documents
 equal hashes of different shingles are out of the question (1 in 10**13 for 1,000 each).
@@ -41,13 +47,20 @@ from adlytics.llm.graph import components
 WORDS = 16
 #: Sets of a leaf, children of a node, sets of a block.
 LEAF, FANOUT, BLOCK = 32, 16, 2048
-#: Tokens in more sets than the larger of the two come last; at most 1 / HOT_SHARE times
-#: the mean number of first tokens are so, which bounds the broadcast of them.
-HOT_COUNT, HOT_SHARE = 32, 1e-5
+#: Tokens in more sets than ``HOT_COUNT`` and than ``HOT_SHARE`` of all first tokens come
+#: last; there are at most 1 / HOT_SHARE of them, which bounds the broadcast of them.
+HOT_COUNT, HOT_SHARE = 32, 1e-6
+#: Members of its tokens that a class is first compared with.
+SPOKES = 3
+#: Pairs a task gathers before it sends them on, each once.
+GATHERED = 1 << 20
 #: Rows of 8 bytes that may be broadcast to pick texts; beyond, Spark shuffles.
 BROADCAST_ROWS = 4_000_000
 
-FEATURES = "doc bigint, row bigint, n bigint, sig binary, prefix array<bigint>, bitmap array<bigint>"
+FEATURES = (
+    "doc bigint, row bigint, n bigint, sig binary, first array<bigint>, bitmap array<bigint>,"
+    " wide binary"
+)
 
 
 def _row(doc_id: str, text: str) -> Column:
@@ -77,17 +90,19 @@ def _tokenised(docs: DataFrame, doc_id: str, text: str, width: int, *keep: str)
     )
 
 
-def _features(tokenised: DataFrame, percent: int, hot: np.ndarray) -> DataFrame:
-    """Size, digest, first tokens and bitmap of each set."""
-    held = tokenised.sparkSession.sparkContext.broadcast(hot)
+def _first_tokens(n: int, percent: int) -> int:
+    """How many tokens a set shares one of with every set it links with."""
+    return n - (percent * n + 99) // 100 + 1 if n else 0
+
+
+def _features(tokenised: DataFrame, percent: int) -> DataFrame:
+    """Size, digest, smallest tokens and bitmaps of each set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = held.value
         for batch in batches:
-            lists = batch.column(2)
-            bounds = lists.offsets.to_numpy()
-            tokens = lists.values.to_numpy(zero_copy_only=False)
-            sizes, sigs, firsts, maps = [], [], [], []
+            bounds = batch.column(2).offsets.to_numpy()
+            tokens = batch.column(2).values.to_numpy(zero_copy_only=False)
+            sizes, sigs, firsts, maps, wides = [], [], [], [], []
             for a, b in zip(bounds[:-1], bounds[1:]):
                 own = np.unique(tokens[a:b])
                 n = len(own)
@@ -100,10 +115,10 @@ def _features(tokenised: DataFrame, percent: int, hot: np.ndarray) -> DataFrame:
                         bits, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63))
                     )
                 maps.append(bits.view(np.int64))
-                if len(hot) and n:
-                    late = hot[np.minimum(np.searchsorted(hot, own), len(hot) - 1)] == own
-                    own = np.concatenate([own[~late], own[late]])
-                firsts.append(own[: n - (percent * n + 99) // 100 + 1] if n else own)
+                wides.append(_wide(own))
+                # A quarter more than the first ones, for those that turn out frequent.
+                first = _first_tokens(n, percent)
+                firsts.append(own[: first + first // 4 + 16])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -112,23 +127,81 @@ def _features(tokenised: DataFrame, percent: int, hot: np.ndarray) -> DataFrame:
                     pa.array(sigs, pa.binary()),
                     pa.array(firsts, pa.list_(pa.int64())),
                     pa.array(maps, pa.list_(pa.int64())),
+                    pa.array(wides, pa.binary()),
                 ],
-                names=["doc", "row", "n", "sig", "prefix", "bitmap"],
+                names=["doc", "row", "n", "sig", "first", "bitmap", "wide"],
             )
 
     return tokenised.mapInArrow(describe, FEATURES)
 
 
-def _hot_tokens(tokenised: DataFrame, percent: int) -> np.ndarray:
-    """Sorted tokens that are among the first of many different sets."""
-    sets = _features(tokenised, percent, np.empty(0, np.int64)).where("n > 0")
-    sets = sets.groupBy("sig").agg(F.first("prefix").alias("prefix"))
-    counts = sets.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    counts = checkpointed(counts.where(F.col("n") > HOT_COUNT))
-    found = counts.where(F.col("n") > HOT_SHARE * tokenised.count()).select("t").toPandas()["t"]
+def _hot_tokens(classes: DataFrame, percent: int) -> np.ndarray:
+    """Sorted tokens that are among the smallest ones of many different sets."""
+    n = F.col("n")
+    first = (n - F.floor((percent * n + 99) / 100) + 1).cast("int")
+    entries = classes.select(F.explode(F.slice("first", 1, first)).alias("t"))
+    counts = entries.groupBy("t").agg(F.count("*").alias("n")).where(F.col("n") > HOT_COUNT)
+    counts = checkpointed(counts)
+    total = classes.agg(F.sum(first)).first()[0] or 0
+    found = counts.where(F.col("n") > HOT_SHARE * total).select("t").toPandas()["t"]
     return np.sort(found.to_numpy(np.int64))
 
 
+def _prefixes(
+    classes: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int, percent: int, hot: np.ndarray
+) -> DataFrame:
+    """(cid, n, prefix): the first tokens of each class, frequent ones last."""
+    held = classes.sparkSession.sparkContext.broadcast(hot)
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = held.value
+        for batch in batches:
+            sizes = batch.column(1).to_numpy()
+            bounds = batch.column(2).offsets.to_numpy()
+            tokens = batch.column(2).values.to_numpy(zero_copy_only=False)
+            late = np.zeros(len(tokens), bool)
+            if len(hot):
+                late = hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
+            out = []
+            for a, b, n in zip(bounds[:-1], bounds[1:], sizes.tolist()):
+                own, frequent = tokens[a:b], late[a:b]
+                first = _first_tokens(n, percent)
+                cold = own[~frequent][:first]
+                if len(cold) < first and b - a == n:
+                    cold = np.concatenate([cold, own[frequent]])[:first]
+                out.append(cold if len(cold) == first else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))],
+                names=["cid", "n", "prefix"],
+            )
+
+    schema = "cid bigint, n bigint, prefix array<bigint>"
+    found = stored(classes.select("cid", "n", "first").mapInArrow(order, schema))
+    lacking = found.where(F.col("prefix").isNull()).join(classes.select("cid", "row"), "cid")
+    whole = _sets_of(lacking.select("cid", "row"), docs, doc_id, text, width)
+    again = (
+        whole.select("cid", F.size("t").cast("bigint").alias("n"), F.sort_array("t").alias("first"))
+        .mapInArrow(order, schema)
+        .groupBy("cid")
+        .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    )
+    return found.where(F.col("prefix").isNotNull()).union(stored(again))
+
+
+def _sets_of(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """(cid, t): whole sets of the classes asked for (cid, row), made from their texts.
+
+    A row that the table holds more than once gives its set as often.
+    """
+    keys = checkpointed(wanted)
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    picked = docs.select(
+        F.col(doc_id).alias("id"), F.col(text).alias("text"), _row(doc_id, text).alias("row")
+    ).join(keys, "row")
+    return _tokenised(picked, "id", "text", width, "cid").select("cid", "t")
+
+
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -299,38 +372,53 @@ def _traverse(percent: int):
         held: list[pa.RecordBatch] = []
         last = None
 
-        def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        gathered: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
+
+        def send() -> pa.RecordBatch:
+            a, b = (np.concatenate(part) for part in zip(*gathered))
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            fresh = _changes(a, b)
+            return pa.RecordBatch.from_arrays([pa.array(a[fresh]), pa.array(b[fresh])], names=["a", "b"])
+
+        def whole_tasks() -> Iterator[pa.Table]:
+            nonlocal held, last
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                token, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                cut = int(np.flatnonzero(_changes(token, block))[-1])
+                if cut == 0 and held and last == (token[0], block[0]):
+                    held.append(batch)
+                    continue
+                last = (token[-1], block[-1])
+                # Everything before the last key of this batch is whole.
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+                held = [batch.slice(cut)]
+            if held:
+                yield pa.Table.from_batches(held)
+
+        for table in whole_tasks():
+            if not table.num_rows:
+                continue
             cid = table.column("cid").to_numpy()
             for p, q in pairs(table):
                 a, b = cid[p], cid[q]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-                )
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cut = int(np.flatnonzero(_changes(token, block))[-1])
-            if cut == 0 and held and last == (token[0], block[0]):
-                held.append(batch)
-                continue
-            last = (token[-1], block[-1])
-            # Everything before the last key of this batch is whole.
-            whole = [*held, batch.slice(0, cut)]
-            table = pa.Table.from_batches(whole)
-            if table.num_rows:
-                yield from found(table)
-            held = [batch.slice(cut)]
-        if held:
-            yield from found(pa.Table.from_batches(held))
+                gathered.append((np.minimum(a, b), np.maximum(a, b)))
+                waiting += len(a)
+                if waiting >= GATHERED:
+                    yield send()
+                    gathered, waiting = [], 0
+        if gathered:
+            yield send()
 
     return run
 
 
 def _wide(own: np.ndarray) -> bytes:
-    """Size and bitmap of a set, with at least eight bits for each token."""
-    width = 1 << max(0, (8 * len(own) - 1).bit_length() - 6)
+    """Size and bitmap of a set, with four to eight bits for each token."""
+    width = 1 << max(0, (8 * len(own)).bit_length() - 7)
     bit = (own.view(np.uint64) >> np.uint64(7)) % np.uint64(64 * width)
     bits = np.zeros(width * 8, np.uint8)
     at = (bit >> np.uint64(3)).astype(np.int64)
@@ -354,71 +442,61 @@ def _links(x: pa.Buffer, y: pa.Buffer, percent: int) -> bool:
     return 100 * shared >= percent * (len(left) + len(right) - shared)
 
 
-def _compared(
+def _tested(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
+    """Pairs (a, b) of classes that pass a test on what ``sets`` (cid, own) holds of them."""
+    sets = sets.groupBy("cid").agg(F.first("own").alias("own"))
+    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("own").alias("a_own")), "a").join(
+        sets.select(F.col("cid").alias("b"), F.col("own").alias("b_own")), "b"
+    )
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = zip(batch.column(2), batch.column(3))
+            keep = [test(x.as_buffer(), y.as_buffer()) for x, y in own]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    found = both.select("a", "b", "a_own", "b_own").mapInArrow(check, "a bigint, b bigint")
+    return checkpointed(found)
+
+
+def _wanted(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    both = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    return both.join(classes.select("cid", "row"), "cid")
+
+
+def _checked(
     pairs: DataFrame,
     classes: DataFrame,
+    sets: DataFrame,
     docs: DataFrame,
     doc_id: str,
     text: str,
     width: int,
     percent: int,
-    whole: bool,
 ) -> DataFrame:
-    """Pairs (a, b) of classes that may link by wide bitmaps or, if ``whole``, do link.
+    """Pairs (a, b) of classes whose sets really link.
 
-    Sets are made anew from the texts of the classes asked for.
+    Wide bitmaps, stored with the sets, come first: few pairs are left for whole sets.
     """
-    wanted = checkpointed(
-        pairs.select(F.col("a").alias("cid"))
-        .union(pairs.select("b"))
-        .distinct()
-        .join(classes.select("cid", "row"), "cid")
-    )
-    keys = wanted
-    if wanted.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(wanted)
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pairs = checkpointed(pairs)
+    keys = checkpointed(_wanted(pairs, classes))
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    wide = sets.select("row", F.col("wide").alias("own")).join(keys, "row").select("cid", "own")
+    near = _tested(pairs, wide, lambda x, y: _wide_may_link(x, y, percent))
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bounds = batch.column(1).offsets.to_numpy()
             tokens = batch.column(1).values.to_numpy(zero_copy_only=False)
-            sets = (np.unique(tokens[a:b]) for a, b in zip(bounds[:-1], bounds[1:]))
-            own = [own.tobytes() if whole else _wide(own) for own in sets]
+            own = [np.sort(tokens[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(own, pa.binary())], names=["cid", "own"]
             )
 
-    picked = docs.select(
-        F.col(doc_id).alias("id"), F.col(text).alias("text"), _row(doc_id, text).alias("row")
-    ).join(keys, "row")
-    sets = (
-        _tokenised(picked, "id", "text", width, "cid")
-        .select("cid", "t")
-        .mapInArrow(describe, "cid bigint, own binary")
-        .groupBy("cid")
-        .agg(F.first("own").alias("own"))
-    )
-    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("own").alias("a_own")), "a").join(
-        sets.select(F.col("cid").alias("b"), F.col("own").alias("b_own")), "b"
-    )
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = _links if whole else _wide_may_link
-        for batch in batches:
-            own = zip(batch.column(2), batch.column(3))
-            keep = [test(x.as_buffer(), y.as_buffer(), percent) for x, y in own]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    found = both.select("a", "b", "a_own", "b_own").mapInArrow(check, "a bigint, b bigint")
-    return checkpointed(found)
-
-
-def _checked(pairs: DataFrame, *how) -> DataFrame:
-    """Pairs (a, b) of classes whose sets really link.
-
-    Wide bitmaps, an eighth of the sets' size, come first: few pairs are left for the sets.
-    """
-    return _compared(_compared(checkpointed(pairs), *how, False), *how, True)
+    whole = _sets_of(_wanted(near, classes), docs, doc_id, text, width)
+    whole = whole.mapInArrow(sort, "cid bigint, own binary")
+    return _tested(near, whole, lambda x, y: _links(x, y, percent))
 
 
 def _tasks(members: DataFrame, percent: int) -> DataFrame:
@@ -478,26 +556,34 @@ def similar_documents(
     ``row`` is the hash of id and text; ``keeper`` says whether the row is the first (by id,
     then hash) of its component, which holds for all rows with empty sets.
     """
-    tokenised = _tokenised(docs, doc_id, text, width)
-    hot = _hot_tokens(tokenised, percent)
-    sets = stored(_features(tokenised, percent, hot))
-    known = sets.where("n > 0")
+    sets = stored(_features(_tokenised(docs, doc_id, text, width), percent))
     classes = stored(
-        known.groupBy("sig")
+        sets.where("n > 0")
+        .groupBy("sig")
         .agg(
             F.min(F.struct(F.col("doc").isNull().alias("unknown"), "doc", "row")).alias("rep"),
             F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
+            F.first("first").alias("first"),
             F.first("bitmap").alias("bitmap"),
         )
-        .select("sig", "n", "prefix", "bitmap", "rep.doc", "rep.row")
+        .select("sig", "n", "first", "bitmap", "rep.doc", "rep.row")
         .withColumn("cid", F.monotonically_increasing_id())
     )
-    entries = classes.select("cid", "n", F.explode("prefix").alias("token"))
+    how = (docs, doc_id, text, width, percent)
+    prefixes = _prefixes(classes, *how, _hot_tokens(classes, percent))
+    entries = prefixes.select("cid", "n", F.explode("prefix").alias("token"))
     shared = (
         entries.groupBy("token")
-        .agg(F.count("*").alias("size"), F.min(F.struct("cid", "n")).alias("hub"))
+        .agg(
+            F.count("*").alias("size"),
+            F.min(F.struct("cid", "n")).alias("hub"),
+            F.bit_xor(F.xxhash64("cid")).alias("these"),
+            F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("those"),
+        )
         .where("size > 1")
+        # Of tokens shared by the very same classes one is enough.
+        .groupBy("size", "hub", "these", "those")
+        .agg(F.min("token").alias("token"))
     )
     members = stored(
         entries.join(shared, "token").select(
@@ -512,14 +598,15 @@ def similar_documents(
     }
     spokes = (
         members.where((F.col("cid") != F.col("hub")) & _sizes_fit(F.col("n"), F.col("hub_n"), percent))
-        .select(F.col("hub").alias("a"), F.col("cid").alias("b"))
-        .distinct()
+        .groupBy(F.col("cid").alias("b"))
+        .agg(F.slice(F.sort_array(F.collect_set("hub")), 1, SPOKES).alias("hubs"))
+        .select(F.explode("hubs").alias("a"), "b")
         .join(maps["a"], "a")
         .join(maps["b"], "b")
         .where(_bound_fits("a", "b", percent))
         .select("a", "b")
     )
-    near_hub = _checked(spokes, classes, docs, doc_id, text, width, percent)
+    near_hub = _checked(spokes, classes, sets, *how)
     roots = components(near_hub)
 
     placed = members.join(roots, F.col("cid") == F.col("node"), "left").select(
@@ -541,7 +628,7 @@ def similar_documents(
         .mapInArrow(_traverse(percent), "a bigint, b bigint")
         .distinct()
     )
-    links = near_hub.union(_checked(candidates, classes, docs, doc_id, text, width, percent))
+    links = near_hub.union(_checked(candidates, classes, sets, *how))
     final = components(links)
 
     named = classes.join(final, F.col("cid") == F.col("node"), "left").select(
