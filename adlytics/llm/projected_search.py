@@ -7,10 +7,12 @@ at the projected distance r where a vector nearer than the worst neighbour so fa
 distance d) would, with probability ``CONFIDENCE``, have been met: chi-square(r² / d²) >
 ``CONFIDENCE``. What lies exactly at r is still met.
 
-Spread over the cluster: the projected space is cut into cells by a kd-tree fitted on a
-bounded sample (at most about ``SAMPLE_ROWS`` rows; every vector is indexed). A cell's
-vectors form blocks of at most about ``BLOCK_ROWS``; a cell that cannot be cut is dealt into
-blocks by vector. Each block has a kd-tree of its own. A query first searches its own cell;
+Spread over the cluster: the projected space is cut into at most ``MAX_CELLS`` cells by a
+kd-tree fitted on a bounded sample (about ``SAMPLE_ROWS`` rows; every vector is indexed). So
+the splits and the cells' boxes, which all tasks hold, are bounded whatever the number of
+vectors. A cell's vectors form blocks of at most about ``BLOCK_ROWS``; beyond that, and where
+a cell cannot be cut, they are dealt into blocks by vector. Each block has a kd-tree of its
+own. A query first searches its own cell;
 its worst distance so far then names, by the same test, the blocks it still has to visit.
 Queries of one block are dealt into groups too.
 
@@ -38,7 +40,7 @@ from adlytics.llm.common import checkpointed, stored
 
 PROJECTIONS = 8
 CONFIDENCE = 0.98
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, MAX_CELLS = 131_072, 1 << 14
 BLOCK_ROWS = 16_384
 LEAF_ROWS = 64
 QUERY_ROWS = 4_096
@@ -256,7 +258,7 @@ def _cells(points: DataFrame) -> dict[int, list[tuple[int, float]]]:
         found[row["dim"]].append(row["projected"])
     splits = {}
     for dim, n in counts.items():
-        cells = 1 << max(0, math.ceil(math.log2(n / BLOCK_ROWS)))
+        cells = min(MAX_CELLS, 1 << max(0, math.ceil(math.log2(n / BLOCK_ROWS))))
         splits[dim] = kd_splits(np.array(found[dim]).reshape(-1, PROJECTIONS), cells)
     return splits
 
@@ -349,25 +351,24 @@ def nearest(
     placed = _in_cells(searched, splits)
     keys = ["dim", "cell"]
     parts = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
-    counts = checkpointed(placed.groupBy(keys).agg(parts.alias("parts")))
-    blocks = stored(
-        placed.join(F.broadcast(counts), keys)
-        .withColumn("part", F.pmod(F.xxhash64("embedding"), F.col("parts")).cast("int"))
-        .drop("parts")
-    )
-    # One box per block of some ten thousand vectors.
     axis = range(PROJECTIONS)
-    boxes = (
-        blocks.groupBy("dim", "cell", "part")
-        .agg(
+    # One row per cell: at most MAX_CELLS for each length of vectors.
+    cells = checkpointed(
+        placed.groupBy(keys).agg(
+            parts.alias("parts"),
             *(F.min(F.col("projected")[i]).alias(f"low{i}") for i in axis),
             *(F.max(F.col("projected")[i]).alias(f"high{i}") for i in axis),
         )
-        .collect()
     )
+    blocks = stored(
+        placed.join(F.broadcast(cells.select(*keys, "parts")), keys)
+        .withColumn("part", F.pmod(F.xxhash64("embedding"), F.col("parts")).cast("int"))
+        .drop("parts")
+    )
+    boxes = cells.collect()
     held = spark.sparkContext.broadcast(
         (
-            np.array([[r["dim"], r["cell"], r["part"]] for r in boxes], np.int32).reshape(-1, 3),
+            np.array([[r["dim"], r["cell"], r["parts"]] for r in boxes], np.int32).reshape(-1, 3),
             np.array([[r[f"low{i}"] for i in axis] for r in boxes]).reshape(-1, PROJECTIONS),
             np.array([[r[f"high{i}"] for i in axis] for r in boxes]).reshape(-1, PROJECTIONS),
         )
@@ -383,29 +384,39 @@ def nearest(
         stop = chi_square_point(CONFIDENCE)
 
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            blocks, low, high = held.value
+            known_cells, low, high = held.value
             for batch in batches:
                 dims, cells = batch.column(1).to_numpy(), batch.column(4).to_numpy()
                 points, known = _matrix(batch.column(3), PROJECTIONS), batch.column(5).to_numpy()
-                row, block = [], []
+                row, cell = [], []
                 for i in range(len(dims)):
-                    home = (blocks[:, 0] == dims[i]) & (blocks[:, 1] == cells[i])
+                    home = (known_cells[:, 0] == dims[i]) & (known_cells[:, 1] == cells[i])
                     if own_cell:
                         go = home
                     else:
                         gap = np.maximum(np.maximum(low - points[i], points[i] - high), 0.0)
                         near = (gap * gap).sum(axis=1) <= stop * known[i] * known[i]
-                        go = (blocks[:, 0] == dims[i]) & ~home & near
+                        go = (known_cells[:, 0] == dims[i]) & ~home & near
                     found = np.flatnonzero(go)
                     row += [i] * len(found)
-                    block += found.tolist()
-                own = batch.take(pa.array(row, pa.int64()))
-                chosen = blocks[np.array(block, np.int64)].reshape(-1, 3)
-                yield pa.RecordBatch.from_arrays(
-                    [own.column(0), own.column(2), own.column(3), own.column(5)]
-                    + [pa.array(chosen[:, c]) for c in range(3)],
-                    names=["vec_id", "embedding", "projected", "known", "dim", "cell", "part"],
-                )
+                    cell += found.tolist()
+                chosen = known_cells[np.array(cell, np.int64)].reshape(-1, 3)
+                parts = chosen[:, 2]
+                # All blocks of a cell, some rows at a time.
+                row, chosen = np.repeat(np.array(row, np.int64), parts), np.repeat(chosen, parts, axis=0)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+                for at in range(0, len(row), 8192):
+                    some = slice(at, at + 8192)
+                    own = batch.take(pa.array(row[some]))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(own.column(c) for c in (0, 2, 3, 5)),
+                            pa.array(chosen[some, 0]),
+                            pa.array(chosen[some, 1]),
+                            pa.array(part[some].astype(np.int32)),
+                        ],
+                        names=["vec_id", "embedding", "projected", "known", "dim", "cell", "part"],
+                    )
 
         return choose
 

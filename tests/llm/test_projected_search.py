@@ -60,6 +60,15 @@ def test_recall(spark, monkeypatch, block):
     compare(df, 20, 10, 0.9)
 
 
+def test_cells_are_bounded_and_lose_nothing(spark, monkeypatch):
+    """Few cells of many blocks each: what all tasks hold does not grow with the vectors."""
+    monkeypatch.setattr(search, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(search, "MAX_CELLS", 4)
+    monkeypatch.setattr(search, "QUERY_ROWS", 7)
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    compare(df, 20, 10, 0.9)
+
+
 def test_awkward_vectors(spark, monkeypatch):
     monkeypatch.setattr(search, "BLOCK_ROWS", 8)
     nan, inf = float("nan"), float("inf")
