@@ -27,13 +27,20 @@ def _with_text(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; those kept lose their failed lines."""
+    """Rejected documents go; those kept lose their failed lines.
+
+    NULL and empty texts fail the base rules and go; equal rows share one verdict. A short
+    document fails the base rules too (fewer than 50 words), however clean it is.
+    """
     kept = line_rules.kept_documents(line_rules.clean_lines(docs))
     return _with_text(kept, docs, "cleaned")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; every document stays, a full copy empty."""
+    """Lines that an earlier document holds go; every document stays, a full copy empty.
+
+    NULL text becomes empty; rows with one id count as one document and keep their lines.
+    """
     return _with_text(line_dedup.dedup_lines(docs), docs, "kept_text")
 
 
@@ -60,12 +67,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the mix takes them: taken twice, a document comes twice; words that the
-    mix leaves out are gone."""
+    mix leaves out are gone.
+
+    NULL, empty and blank texts have no words to take and go; a NULL source is one source;
+    rows with one id and different texts are separate documents, and equal rows each give
+    what the mix takes of them.
+    """
     return _with_text(mixing.mixed_documents(docs), docs, "mixed_text")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of at most 1024 tokens."""
+    """Token pieces in sequences of at most 1024 tokens.
+
+    NULL text is empty and gives its end token alone; equal rows are packed each on their own.
+    """
     path = public_tokenizers.path("byte_bpe_50k.json")
     return best_fit.pack(best_fit.token_pieces(docs, path, 2, 1024), 1024)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import brute
@@ -10,6 +11,8 @@ import pytest
 from text_helpers import SF
 from test_signature_trees import components_by_brute_force
 
+from adlytics.llm import mixing
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -58,11 +61,82 @@ def test_run(spark):
     assert rows and max(fill.values()) <= 1024
 
 
-@pytest.mark.parametrize("stage", range(5))
-def test_awkward_and_empty_tables(stage, spark, awkward, empty):
-    _, function = corpus_pipeline.STAGES[stage]
-    for df in (awkward, empty):
-        out = function(spark, df, SF)
-        if stage < 4:
-            assert out.columns == df.columns
-        out.collect()
+STAGE = dict(corpus_pipeline.STAGES)
+
+
+def texts_by_id(rows):
+    return Counter((r.doc_id, r.text) for r in rows)
+
+
+def test_quality_rules_on_awkward_rows(spark, awkward, awkward_pairs):
+    words = [f"Abc{i} def{i} ghi{i} jkl{i}." for i in range(30)]
+    menu = "Home | About | News | Contact | Search"
+    more = [(50, "\n".join([*words, menu])), (51, " ".join(words)), (51, " ".join(words)), (52, "\n".join([menu] * 30))]
+    df = awkward.unionByName(
+        spark.createDataFrame([(i, t, None, None, None, 1, "x") for i, t in more], awkward.schema)
+    )
+    out = STAGE["quality_rules"](spark, df, SF)
+    assert out.columns == df.columns
+    # Every awkward row is too short, blank or repeats itself; of the others the menu goes.
+    assert all(r[-1] for r in brute.base_quality(awkward_pairs))
+    assert texts_by_id(out.collect()) == Counter(
+        {(50, "\n".join(words)): 1, (51, " ".join(words)): 2}
+    )
+    assert all(r.n_chars == len(r.text) for r in out.collect())
+
+
+def test_line_dedup_on_awkward_rows(spark, awkward, awkward_pairs):
+    out = STAGE["line_dedup"](spark, awkward, SF)
+    assert out.columns == awkward.columns
+    got = Counter((r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in out.collect())
+    assert got == Counter((i, digest) for i, _, _, digest in brute.dedup(awkward_pairs))
+
+
+def test_near_duplicates_on_awkward_rows(spark, awkward, awkward_pairs):
+    out = STAGE["near_duplicates"](spark, awkward, SF)
+    assert out.columns == awkward.columns
+    found, groups = components_by_brute_force(awkward_pairs, 5, 80)
+    empty = Counter(i for i, n, _ in found if not n)
+    rows = out.collect()
+    size = lambda t: len(brute.WORD.findall(t or ""))
+    assert Counter(r.doc_id for r in rows if not size(r.text)) == empty
+    worded = Counter(r.doc_id for r in rows if size(r.text))
+    assert sum(worded.values()) == groups
+    assert set(worded) == {c for _, n, c in found if n}
+
+
+def test_mix_sources_on_awkward_rows(spark, awkward, awkward_pairs):
+    out = STAGE["mix_sources"](spark, awkward, SF)
+    assert out.columns == awkward.columns
+    mixed, sized, entries = mixing.mix(awkward)
+    want = Counter()
+    for r in mixing.taken_words(mixed, sized, entries).collect():
+        want[r.doc] += r.taken
+    own = {}
+    for i, text in awkward_pairs:
+        own.setdefault(i, []).append(brute.WORD.findall(text or ""))
+    got = Counter()
+    for r in out.collect():
+        words = brute.WORD.findall(r.text)
+        got[r.doc_id] += len(words)
+        assert words and any(set(words) <= set(w) for w in own[r.doc_id])
+    assert got == Counter({k: v for k, v in want.items() if v})
+
+
+def test_pack_sequences_on_awkward_rows(spark, awkward, awkward_pairs):
+    rows = STAGE["best_fit"](spark, awkward, SF).collect()
+    fill, starts = Counter(), Counter()
+    for r in rows:
+        fill[r.sequence_id] += r.length
+        starts[r.doc_id] += r.piece == 0
+    assert starts == Counter(i for i, _ in awkward_pairs) and max(fill.values()) <= 1024
+    empty = [r for r in rows if r.doc_id in (0, 1)]
+    assert [(r.piece, r.start, r.length) for r in empty] == [(0, 0, 1)] * 2
+
+
+@pytest.mark.parametrize("name", STAGE)
+def test_empty_tables(name, spark, empty):
+    out = STAGE[name](spark, empty, SF)
+    if name != "best_fit":
+        assert out.columns == empty.columns
+    assert out.collect() == []
