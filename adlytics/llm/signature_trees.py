@@ -52,6 +52,8 @@ LEAF, FANOUT, BLOCK = 32, 16, 2048
 HOT_COUNT, HOT_SHARE = 32, 1e-6
 #: Members of its tokens that a class is first compared with.
 SPOKES = 3
+#: Tokens of a class that say where else it is met; a pair met there before is not sent again.
+KNOWN = 64
 #: Pairs a task gathers before it sends them on, each once.
 GATHERED = 1 << 20
 #: Rows of 8 bytes that may be broadcast to pick texts; beyond, Spark shuffles.
@@ -331,6 +333,39 @@ def _changes(*keys: np.ndarray) -> np.ndarray:
     return fresh
 
 
+def _first_meetings(table: pa.Table):
+    """A function that says which pairs of rows share no smaller token than the one here.
+
+    Each row carries the smallest ``KNOWN`` tokens its class is met at. Two classes that
+    share a token are thus sent once, where the smallest such token is among them, and
+    never left out.
+    """
+    token = table.column("token").to_numpy()
+    lists = table.column("known").combine_chunks()
+    bounds = lists.offsets.to_numpy()
+    bounds, values = bounds - bounds[0], lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(token)), np.diff(bounds))
+    below = values < token[row]
+    bit = np.uint64(1) << ((values.view(np.uint64) >> np.uint64(20)) & np.uint64(63))
+    masks = np.zeros(len(token), np.uint64)
+    np.bitwise_or.at(masks, row[below], bit[below])
+    sets: dict[int, frozenset] = {}
+
+    def smaller(i: int) -> frozenset:
+        if i not in sets:
+            own = slice(bounds[i], bounds[i + 1])
+            sets[i] = frozenset(values[own][below[own]].tolist())
+        return sets[i]
+
+    def new(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        keep = (masks[p] & masks[q]) == 0
+        for at in np.flatnonzero(~keep).tolist():
+            keep[at] = smaller(int(p[at])).isdisjoint(smaller(int(q[at])))
+        return np.flatnonzero(keep)
+
+    return new
+
+
 def _traverse(percent: int):
     """Streams tasks sorted by key; each is one tree, or two trees traversed together."""
 
@@ -356,6 +391,13 @@ def _traverse(percent: int):
         bits = flat.view(np.uint64).reshape(-1, WORDS)
         starts = np.flatnonzero(fresh)
         sizes = np.diff(np.concatenate([starts, [len(fresh)]]))
+        new = _first_meetings(table)
+        for p, q in found(starts, sizes, side, n, comp, bits):
+            at = new(p, q)
+            if len(at):
+                yield p[at], q[at]
+
+    def found(starts, sizes, side, n, comp, bits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         two = np.maximum.reduceat(side, starts) > 0
         small = (sizes <= LEAF) & ~two
         yield from leaves(starts[small & (sizes > 1)], sizes[small & (sizes > 1)], n, bits, comp)
@@ -618,11 +660,15 @@ def similar_documents(
         .where(F.col("least") < F.col("most"))
         .select("token")
     )
-    tasks = _tasks(checkpointed(placed.join(mixed, "token")), percent)
+    placed = checkpointed(placed.join(mixed, "token"))
+    tasks = _tasks(placed, percent)
+    known = placed.groupBy("cid").agg(
+        F.slice(F.sort_array(F.collect_list("token")), 1, KNOWN).alias("known")
+    )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     candidates = (
-        tasks.join(classes.select("cid", "bitmap"), "cid")
-        .select("token", "block", "side", "cid", "n", "comp", "bitmap")
+        tasks.join(classes.select("cid", "bitmap").join(known, "cid"), "cid")
+        .select("token", "block", "side", "cid", "n", "comp", "bitmap", "known")
         .repartition(parts, "token", "block")
         .sortWithinPartitions("token", "block", "side")
         .mapInArrow(_traverse(percent), "a bigint, b bigint")
