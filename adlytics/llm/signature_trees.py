@@ -53,7 +53,7 @@ HOT_COUNT, HOT_SHARE = 32, 1e-6
 #: Members of its tokens that a class is first compared with.
 SPOKES = 3
 #: Tokens of a class that say where else it is met; a pair met there before is not sent again.
-KNOWN = 64
+KNOWN = 8
 #: Pairs a task gathers before it sends them on, each once.
 GATHERED = 1 << 20
 #: Rows of 8 bytes that may be broadcast to pick texts; beyond, Spark shuffles.

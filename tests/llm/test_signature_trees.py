@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from adlytics.llm import graph, signature_trees
@@ -154,3 +156,31 @@ def test_wide_bitmaps_never_lose_a_link(seed):
             assert signature_trees._wide_may_link(*wide, percent) or not links
             if n > 50 and b is unlike:
                 assert not signature_trees._wide_may_link(*wide, percent)
+
+
+@pytest.mark.parametrize("cap", [1, 3, 1000])
+@pytest.mark.parametrize("seed", range(4))
+def test_a_pair_is_sent_from_its_smallest_shared_token(seed, cap):
+    """Once where the lists are whole, and never not at all where they are cut short."""
+    rng = np.random.default_rng(seed)
+    tokens = rng.integers(-(1 << 62), 1 << 62, 40)
+    classes = [np.sort(rng.choice(tokens, rng.integers(1, 15), replace=False)) for _ in range(30)]
+    rows = sorted((int(t), i) for i, own in enumerate(classes) for t in own)
+    table = pa.table(
+        {
+            "token": pa.array([t for t, _ in rows], pa.int64()),
+            "known": pa.array([classes[i][:cap].tolist() for _, i in rows], pa.list_(pa.int64())),
+        }
+    )
+    new = signature_trees._first_meetings(table)
+    sent = Counter()
+    for token in sorted({t for t, _ in rows}):
+        at = [k for k, (t, _) in enumerate(rows) if t == token]
+        p, q = (np.array(x, np.int64) for x in zip(*[(a, b) for a in at for b in at if a < b] or [(at[0], at[0])]))
+        for k in new(p, q).tolist():
+            if p[k] != q[k]:
+                sent[rows[p[k]][1], rows[q[k]][1]] += 1
+    shared = {(i, j) for i in range(30) for j in range(i) if set(classes[i].tolist()) & set(classes[j].tolist())}
+    assert {(max(a, b), min(a, b)) for a, b in sent} == shared
+    if cap == 1000:
+        assert set(sent.values()) == {1}
