@@ -194,7 +194,6 @@ def manifest(
     of them (columns over ``rows``); ``folded_root`` is the root that follows from the leaf
     so seen and the siblings of the proof, ``verified`` whether it is the root.
     """
-    spark = rows.sparkSession
     leaf = leaf_digest([F.col(f) for f in fields])
     other = F.lit(None).cast("string")
     if suspect is not None:
