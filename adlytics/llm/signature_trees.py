@@ -12,8 +12,10 @@ or when both lie in one known component. Surviving pairs are checked on the whol
 Hot tokens: members of a token are dealt into blocks of at most ``BLOCK`` sets of about the
 same size, and each pair of blocks of neighbouring sizes is a task of its own. Before the
 trees, every class is compared with the first members of its tokens (``SPOKES`` of them at
-most), so that a large group of near copies is one component when its trees are traversed
-and needs no pairs among itself.
+most). Then the trees of tokens with more than ``LEAF`` classes are traversed for a spanning
+forest of the pairs they find, fewer pairs than members. So a large group of near copies is
+one component when all trees are traversed for every pair left, and needs no pairs among
+itself, however its links run.
 
 Texts are split once: what is stored of a set are its size, digest, bitmaps and a few more
 tokens than its first ones, from which these follow when the frequent tokens are known. Only
@@ -366,8 +368,42 @@ def _first_meetings(table: pa.Table):
     return new
 
 
-def _traverse(percent: int):
-    """Streams tasks sorted by key; each is one tree, or two trees traversed together."""
+def _groups(fresh: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Numbers 0, 1, ... for the components of each task; ``fresh`` marks where tasks start."""
+    task = np.cumsum(fresh)
+    order = np.lexsort((comp, task))
+    groups = np.empty(len(comp), np.int64)
+    groups[order] = np.cumsum(_changes(task[order], comp[order])) - 1
+    return groups
+
+
+def _joining(groups: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Which pairs of rows join two groups that none before has; ``groups`` takes the joins in."""
+    a, b = groups[p], groups[q]
+    apart = np.flatnonzero(a != b)
+    kept: list[int] = []
+    up: dict[int, int] = {}
+    for k, x, y in zip(apart.tolist(), a[apart].tolist(), b[apart].tolist()):
+        while x in up:
+            x = up[x]
+        while y in up:
+            y = up[y]
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            kept.append(k)
+    if up:
+        names = np.arange(int(groups.max()) + 1)
+        for x in sorted(up):
+            names[x] = names[up[x]]
+        groups[:] = names[groups]
+    return np.array(kept, np.int64)
+
+
+def _traverse(percent: int, forest: bool = False):
+    """Streams tasks sorted by key; each is one tree, or two trees traversed together.
+
+    ``forest`` sends of the pairs of a task a spanning forest only.
+    """
 
     def leaves(starts, sizes, n, bits, comp):
         """Pairs of tasks with a single leaf, many tasks at once."""
@@ -392,8 +428,12 @@ def _traverse(percent: int):
         starts = np.flatnonzero(fresh)
         sizes = np.diff(np.concatenate([starts, [len(fresh)]]))
         new = _first_meetings(table)
+        if forest:
+            comp = _groups(fresh, comp)
         for p, q in found(starts, sizes, side, n, comp, bits):
             at = new(p, q)
+            if forest:
+                at = at[_joining(comp, p[at], q[at])]
             if len(at):
                 yield p[at], q[at]
 
@@ -648,33 +688,38 @@ def similar_documents(
         .where(_bound_fits("a", "b", percent))
         .select("a", "b")
     )
-    near_hub = _checked(spokes, classes, sets, *how)
-    roots = components(near_hub)
-
-    placed = members.join(roots, F.col("cid") == F.col("node"), "left").select(
-        "token", "cid", "n", "size", F.coalesce("root", "cid").alias("comp")
-    )
-    mixed = (
-        placed.groupBy("token")
-        .agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
-        .where(F.col("least") < F.col("most"))
-        .select("token")
-    )
-    placed = checkpointed(placed.join(mixed, "token"))
-    tasks = _tasks(placed, percent)
-    known = placed.groupBy("cid").agg(
-        F.slice(F.sort_array(F.collect_list("token")), 1, KNOWN).alias("known")
-    )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    candidates = (
-        tasks.join(classes.select("cid", "bitmap").join(known, "cid"), "cid")
-        .select("token", "block", "side", "cid", "n", "comp", "bitmap", "known")
-        .repartition(parts, "token", "block")
-        .sortWithinPartitions("token", "block", "side")
-        .mapInArrow(_traverse(percent), "a bigint, b bigint")
-        .distinct()
-    )
-    links = near_hub.union(_checked(candidates, classes, sets, *how))
+
+    def candidates(members: DataFrame, links: DataFrame, forest: bool) -> DataFrame:
+        """Pairs (a, b) of classes that ``links`` does not connect and that may link."""
+        placed = members.join(components(links), F.col("cid") == F.col("node"), "left").select(
+            "token", "cid", "n", "size", F.coalesce("root", "cid").alias("comp")
+        )
+        mixed = (
+            placed.groupBy("token")
+            .agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+            .where(F.col("least") < F.col("most"))
+            .select("token")
+        )
+        placed = checkpointed(placed.join(mixed, "token"))
+        known = placed.groupBy("cid").agg(
+            F.slice(F.sort_array(F.collect_list("token")), 1, KNOWN).alias("known")
+        )
+        return (
+            _tasks(placed, percent)
+            .join(classes.select("cid", "bitmap").join(known, "cid"), "cid")
+            .select("token", "block", "side", "cid", "n", "comp", "bitmap", "known")
+            .repartition(parts, "token", "block")
+            .sortWithinPartitions("token", "block", "side")
+            .mapInArrow(_traverse(percent, forest), "a bigint, b bigint")
+            .distinct()
+        )
+
+    links = _checked(spokes, classes, sets, *how)
+    # Tokens of few classes give few pairs each: they need no forest.
+    trees = candidates(members.where(F.col("size") > LEAF), links, True)
+    links = links.union(_checked(trees, classes, sets, *how))
+    links = links.union(_checked(candidates(members, links, False), classes, sets, *how))
     final = components(links)
 
     named = classes.join(final, F.col("cid") == F.col("node"), "left").select(

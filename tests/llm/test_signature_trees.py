@@ -184,3 +184,47 @@ def test_a_pair_is_sent_from_its_smallest_shared_token(seed, cap):
     assert {(max(a, b), min(a, b)) for a, b in sent} == shared
     if cap == 1000:
         assert set(sent.values()) == {1}
+
+
+def test_a_group_of_near_copies_is_joined_by_few_pairs(spark, monkeypatch):
+    """Copies link along many ways; the first members of a token need not be linked with most."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for doc_id in range(400):
+        own = list(base)
+        for _ in range(rng.choice([1, 1, 1, 2, 4, 6, 8])):
+            own[rng.randrange(150)] = f"x{rng.randrange(10**9)}"
+        rows.append((doc_id, " ".join(own)))
+    sent = []
+
+    def counted(pairs, *rest):
+        pairs = pairs.cache()
+        sent.append(pairs.count())
+        return whole(pairs, *rest)
+
+    whole = signature_trees._checked
+    monkeypatch.setattr(signature_trees, "_checked", counted)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows, 3, 90)
+    assert sum(sent) < 12 * len(rows), sent
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_forest_joins_what_the_pairs_join(seed):
+    rng = np.random.default_rng(seed)
+    fresh, comp = rng.random(60) < 0.1, rng.integers(0, 9, 60)
+    fresh[0] = True
+    groups = signature_trees._groups(fresh, comp)
+    task = np.cumsum(fresh)
+    for i in range(60):
+        assert ((groups == groups[i]) == ((task == task[i]) & (comp == comp[i]))).all()
+    all_joined, kept = groups.copy(), 0
+    first = len(np.unique(groups))
+    for _ in range(4):
+        p, q = rng.integers(0, 60, 30), rng.integers(0, 60, 30)
+        kept += len(signature_trees._joining(groups, p, q))
+        for a, b in zip(p.tolist(), q.tolist()):
+            all_joined[all_joined == all_joined[a]] = all_joined[b]
+    assert kept == first - len(np.unique(groups))
+    for i in range(60):
+        assert ((groups == groups[i]) == (all_joined == all_joined[i])).all()
