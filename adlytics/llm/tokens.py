@@ -9,6 +9,7 @@ uncut text (``tests/llm`` compares them); only repeated work is saved.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 from itertools import chain
@@ -18,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text taken at a time; bounds the memory of a task, whatever a batch holds.
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 22
 #: Units remembered by a worker, and units encoded at a time. Past the number, the half that
 #: came up most often stays: words of a language recur, most others do not.
 REMEMBERED, AT_ONCE = 600_000, 10_000
@@ -100,6 +101,14 @@ def tokenizer(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: a worker waits for its next task beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _cuts(data: np.ndarray) -> np.ndarray:
     """Places where the bytes of a text can be cut."""
     if len(data) < 4:
@@ -150,3 +159,6 @@ def encode_column(encoder: Encoder, texts: pa.Array) -> Iterator[tuple[int, int,
         else:
             yield first, end, np.empty(0, np.uint32), np.zeros(end - first, np.int64)
         first = end
+    # Nothing of the last chunk is held while memory is given back.
+    data = raw = is_edge = edges = units = numbers = lengths = stops = places = ends = None
+    _give_back()
