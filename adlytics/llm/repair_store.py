@@ -38,6 +38,7 @@ FIRST_RULE = 1 << 17
 MIN_COUNT = 16
 #: A rule is stored as two symbols and a length; with fewer uses it would not pay.
 LEAST_USES = 4
+#: As many as the 20 bits that ``_bucket`` gives.
 _BUCKETS = 1 << 20
 
 SHARDS = (
@@ -85,7 +86,8 @@ def _find(kinds: np.ndarray, pairs: np.ndarray) -> np.ndarray:
 
 
 def _bucket(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * 0x9E3779B1) >> 16) & (_BUCKETS - 1)
+    # The highest bits of the product: both symbols of a pair reach them.
+    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,6 +284,26 @@ class Shard:
         begin = self.symbol_ends[place - 1] if place else 0
         return expand(self.symbols[begin : self.symbol_ends[place]], self.rules)
 
+    def tokens(self) -> np.ndarray:
+        """The ids of all documents, one after the other.
+
+        Each rule is expanded once and copied to where it stands, unless the expansions
+        together are longer than the documents.
+        """
+        if int(self.expansions.sum(dtype=np.int64)) > int(self.doc_tokens.sum()):
+            return expand(self.symbols, self.rules)
+        rules = expand(np.arange(len(self.rules)) + FIRST_RULE, self.rules)
+        # A symbol that is an id is a copy of itself, kept behind the rules' expansions.
+        rule = self.symbols >= FIRST_RULE
+        of = self.symbols[rule] - FIRST_RULE
+        widths = self.expansions.astype(np.int64)
+        length, begin = np.ones(len(rule), np.int64), np.empty(len(rule), np.int64)
+        length[rule], begin[rule] = widths[of], (np.cumsum(widths) - widths)[of]
+        begin[~rule] = len(rules) + np.arange(len(rule) - len(of))
+        known = np.concatenate([rules, self.symbols[~rule].astype("<u4")])
+        stops = np.cumsum(length)
+        return known[np.repeat(begin - stops + length, length) + np.arange(self.doc_tokens.sum())]
+
     def token(self, place: int, at: int) -> int:
         """One id of one document: skips symbols by their expansion lengths."""
         begin = self.symbol_ends[place - 1] if place else 0
@@ -307,7 +329,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.to_pylist():
                 shard, start = Shard(row), row["__start"] + row["first_token"]
                 starts = start + np.cumsum(shard.doc_tokens) - shard.doc_tokens
-                raw = memoryview(expand(shard.symbols, shard.rules)).cast("B")
+                raw = memoryview(shard.tokens()).cast("B")
                 bounds = (4 * np.cumsum(shard.doc_tokens)).tolist()
                 crc = [zlib.crc32(raw[a:b]) for a, b in zip([0, *bounds], bounds)]
                 yield pa.RecordBatch.from_arrays(

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -248,3 +251,62 @@ def test_rounds_go_on_while_a_pair_is_frequent_and_rules_are_used(seed):
     left = Counter((a, b) for d in own for a, b in zip(d.tolist(), d[1:].tolist()) if a != b)
     assert max(left.values()) < repair_store.MIN_COUNT
     assert len(rules) == len(np.unique(rules, axis=0)) > 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_shard_expands_each_rule_once(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    docs = [rng.integers(0, rng.choice([3, 50, 49408]), n) for n in rng.integers(0, 4000, 12)]
+    docs += [np.tile(rng.integers(0, 9, 7), 60 * seed), np.zeros(0, np.int64)]
+    ids, ends = np.concatenate(docs), np.cumsum([len(d) for d in docs])
+    symbols, symbol_ends, rules = repair_store.compress(ids, ends)
+    row = {
+        "doc_ids": np.arange(len(docs)).astype("<i8").tobytes(),
+        "known": np.ones(len(docs), "u1").tobytes(),
+        "doc_tokens": np.diff(ends, prepend=0).astype("<i8").tobytes(),
+        "doc_symbols": np.diff(symbol_ends, prepend=0).astype("<i8").tobytes(),
+        "rules": rules.astype("<u4").tobytes(),
+        "expansions": repair_store.expansion_lengths(rules).astype("<u4").tobytes(),
+        "low": (symbols & 0xFFFF).astype("<u2").tobytes(),
+        "high": (symbols >> 16).astype("u1").tobytes(),
+    }
+    shard, taken = repair_store.Shard(row), []
+    whole = repair_store.expand
+
+    def counted(symbols, rules):
+        taken.append(len(symbols))
+        return whole(symbols, rules)
+
+    monkeypatch.setattr(repair_store, "expand", counted)
+    got = shard.tokens()
+    assert got.dtype == np.dtype("<u4") and (got == ids).all()
+    short = shard.expansions.sum() <= len(ids)
+    assert taken == [len(rules) if short else len(symbols)]
+
+
+def test_buckets_tell_pairs_of_one_right_symbol_apart():
+    pairs = (np.arange(4096, dtype=np.int64) << 32) | 77
+    assert len(np.unique(repair_store._bucket(pairs))) > 4000
+
+
+def test_a_worker_gives_memory_back():
+    """What an idle worker holds after a column of new words, in a process of its own."""
+    code = (
+        "import random, re, sys\n"
+        "import pyarrow as pa\n"
+        "from adlytics.llm.tokens import encode_column, tokenizer\n"
+        "r = random.Random(1)\n"
+        "word = lambda: ''.join(r.choices('abcdefghij', k=r.randint(4, 9)))\n"
+        "texts = pa.array([' '.join(word() for _ in range(2000)) for _ in range(600)])\n"
+        "encoder = tokenizer(sys.argv[1])\n"
+        "def held():\n"
+        "    found = open('/proc/self/smaps_rollup').read()\n"
+        "    return int(re.search(r'\\nPss_Anon:\\s+(\\d+)', found)[1]) // 1024\n"
+        "before = held()\n"
+        "for part in encode_column(encoder, texts):\n"
+        "    del part\n"
+        "print(held() - before)\n"
+    )
+    root = str(Path(__file__).parents[2])
+    run = subprocess.run([sys.executable, "-c", code, BYTES], cwd=root, capture_output=True, text=True, check=True)
+    assert int(run.stdout) < 30
