@@ -9,8 +9,9 @@ Conversations come back without quotes, each message after the one it replies to
 distance from the first message, then by turn.
 
 No conversation is gathered anywhere: messages are numbered over ranges of (conversation,
-turn), predecessors are found by number, originals are one row per passage, and distances
-double along the replies in as many rounds as the logarithm of the longest chain.
+turn), predecessors are found by number, originals are one row per passage. Messages that
+reply to the one before them form runs, whose hops are counted by number; distances double
+along the heads of runs, in as many rounds as the logarithm of the longest chain of these.
 
 Defined results: equal rows are one message. NULL text is empty. A NULL conversation is one
 conversation, NULL turns come first. Messages of equal turns are ordered by role, then by a
@@ -19,11 +20,13 @@ hash of their text. An empty table gives no rows. Only the named columns are rea
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlytics.llm.common import checkpointed, numbered, stored
 
+#: Messages in a block, at least.
+LEAST_BLOCK = 1024
 _PREFIX = r"^(?:[ \t]*>)+"
 #: A line that announces a quote.
 _ATTRIBUTION = r"(?i)\b(?:wrote|writes|schrieb|écrit|escribió)\s*:\s*$"
@@ -96,19 +99,65 @@ def parsed(messages: DataFrame) -> DataFrame:
     )
 
 
-def _distances(replies: DataFrame) -> DataFrame:
-    """(m, depth): hops to the first message, doubling along (m, parent).
+def _in_order(messages: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """Messages read and numbered ``m`` (0, 1, 2, ...) in ``order``, and how many there are.
 
-    A message whose chain has reached its end takes no part in further rounds.
+    The places come from the sorted ranges themselves, as in ``numbered``; texts are moved
+    into their range and written once, already without quotes.
     """
-    hops = checkpointed(
-        replies.select(
-            "m", F.col("parent").alias("up"), F.col("parent").isNotNull().cast("bigint").alias("depth")
-        )
+    spark = messages.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = messages.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    written = stored(
+        parsed(ranges.withColumn("at", F.monotonically_increasing_id())).drop("content")
+    )
+    part = F.shiftright("at", 33)
+    counts = written.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
+    starts, total = [], 0
+    for part_id, n in sorted((row["part"], row["n"]) for row in counts):
+        starts.append((part_id, total))
+        total += n
+    offsets = spark.createDataFrame(starts, "part bigint, before bigint")
+    m = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
+    numbers = written.withColumn("part", part).join(F.broadcast(offsets), "part")
+    return numbers.withColumn("m", m).drop("part", "before", "at"), total
+
+
+def _runs(replies: DataFrame, total: int) -> DataFrame:
+    """Adds ``head``: the last message up to this one that does not reply to the one before it.
+
+    Heads are looked for in blocks of neighbouring messages, about as many as partitions; a
+    block gets the last head before it from the driver, which holds one number a block.
+    """
+    spark = replies.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(LEAST_BLOCK, -(-total // (4 * parts)))
+    heads = F.when(~F.col("parent").eqNullSafe(F.col("m") - 1), F.col("m"))
+    so_far = Window.partitionBy("block").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
+    inside = checkpointed(
+        replies.withColumn("block", F.floor(F.col("m") / width).cast("bigint"))
+        .withColumn("head", F.max(heads).over(so_far))
     )
-    ended = hops.where(F.col("up").isNull())
-    running = hops.where(F.col("up").isNotNull())
-    while running.limit(1).count():
+    last = inside.groupBy("block").agg(F.max("head").alias("head")).collect()
+    before, head = [], None
+    for block, own in sorted((row["block"], row["head"]) for row in last):
+        before.append((block, head))
+        head = head if own is None else own
+    earlier = spark.createDataFrame(before, "block bigint, earlier bigint")
+    return (
+        inside.join(F.broadcast(earlier), "block")
+        .withColumn("head", F.coalesce("head", "earlier"))
+        .drop("block", "earlier")
+    )
+
+
+def _distances(hops: DataFrame) -> DataFrame:
+    """(m, depth) from (m, up, depth): ``m`` is ``depth`` hops behind ``up``, or where its
+    chain ends if that is NULL. Hops double; a chain that has reached its end takes no part
+    in further rounds.
+    """
+    ended, running = hops.where(F.col("up").isNull()), hops.where(F.col("up").isNotNull())
+    while not running.isEmpty():
         above = running.union(ended).select(
             F.col("m").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more")
         )
@@ -122,6 +171,27 @@ def _distances(replies: DataFrame) -> DataFrame:
     return ended.select("m", "depth")
 
 
+def _depths(runs: DataFrame) -> DataFrame:
+    """Adds ``depth``: hops to the first message.
+
+    Within a run of messages that each reply to the one before, hops are counted by number.
+    Only the heads of runs inside a conversation are followed: to the message they reply to,
+    from there to the head of its run, and so on.
+    """
+    inner = runs.where((F.col("head") == F.col("m")) & F.col("parent").isNotNull())
+    replied = runs.select(
+        F.col("m").alias("parent"),
+        F.when(F.col("head") != F.col("start"), F.col("head")).alias("up"),
+        (F.col("m") - F.col("head") + 1).alias("depth"),
+    )
+    hops = checkpointed(inner.select("m", "parent").join(replied, "parent").select("m", "up", "depth"))
+    of_head = _distances(hops).select(F.col("m").alias("head"), F.col("depth").alias("of_head"))
+    along = F.col("m") - F.col("head")
+    return runs.join(of_head, "head", "left").withColumn(
+        "depth", along + F.coalesce("of_head", F.lit(0).cast("bigint"))
+    )
+
+
 def link_quotes(
     messages: DataFrame,
     conversation: str = "conv_id",
@@ -140,19 +210,8 @@ def link_quotes(
         F.unhex(F.md5(content.cast("binary"))).alias("digest"),
     )
     identity = ["conversation", "turn", "role", "digest"]
-    order = numbered(named.select(identity).distinct(), [F.col(c) for c in identity], "m")
-
-    per_text = parsed(
-        named.groupBy(identity).agg(F.first("content").alias("content"))
-    ).select(*identity, "passages", "own")
-    same = order["m"].isNotNull()
-    for c in identity:
-        same = same & order[c].eqNullSafe(per_text[c])
-    texts = stored(
-        order.join(per_text, same).select(
-            "m", *(order[c].alias(c) for c in identity), "passages", "own"
-        )
-    )
+    unique = named.groupBy(identity).agg(F.first("content").alias("content"))
+    texts, total = _in_order(unique, identity)
     passages = texts.select("m", "conversation", F.explode("passages").alias("p")).select(
         "m",
         "conversation",
@@ -178,29 +237,23 @@ def link_quotes(
             F.sum("n").alias("n_linked"),
         )
     )
-    before = order.select(
-        (F.col("m") + 1).alias("m"), F.col("conversation").alias("last_conversation")
-    )
-    follows = F.col("last_conversation").eqNullSafe(F.col("conversation")) & (F.col("m") > 0)
-    replies = checkpointed(
-        order.select("m", "conversation")
-        .join(before, "m", "left")
+    # The numbers of a conversation are gapless; the first one stands for it from here on.
+    starts = texts.groupBy(F.col("conversation").alias("of")).agg(F.min("m").alias("start"))
+    replies = (
+        texts.select("m", "conversation")
+        .join(starts, F.col("conversation").eqNullSafe(F.col("of")))
         .join(best, "m", "left")
         .select(
             "m",
-            "conversation",
-            F.coalesce(F.col("quotes"), F.when(follows, F.col("m") - 1)).alias("parent"),
+            "start",
+            F.coalesce("quotes", F.when(F.col("m") > F.col("start"), F.col("m") - 1)).alias("parent"),
             F.coalesce("n_linked", F.lit(0).cast("bigint")).alias("n_linked"),
         )
     )
-    depths = replies.join(_distances(replies), "m")
-    placed = numbered(
-        depths, [F.col("conversation"), F.col("depth"), F.col("m")], "place"
-    )
-    starts = placed.groupBy("conversation").agg(F.min("place").alias("start"))
-    starts = starts.withColumnRenamed("conversation", "of")
-    in_order = placed.join(starts, F.col("conversation").eqNullSafe(F.col("of")))
-    positions = in_order.select("m", "parent", "depth", "n_linked", (F.col("place") - F.col("start")).alias("position"))
+    depths = _depths(_runs(replies, total)).select("m", "start", "parent", "depth", "n_linked")
+    placed = numbered(depths, [F.col("start"), F.col("depth"), F.col("m")], "place")
+    # A conversation takes the same numbers in either order.
+    positions = placed.select("m", "parent", "depth", "n_linked", (F.col("place") - F.col("start")).alias("position"))
     above = positions.select(F.col("m").alias("parent"), F.col("position").alias("reply_to"))
     return (
         texts.join(positions.join(above, "parent", "left"), "m")

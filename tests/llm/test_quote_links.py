@@ -122,6 +122,26 @@ def test_whole_table_and_long_chains(spark):
     assert sorted(r.depth for r in quote_links.link_quotes(chain).collect()) == list(range(700))
 
 
+def test_a_chain_without_quotes_needs_no_rounds(spark, monkeypatch):
+    rounds, checkpointed = [], quote_links.checkpointed
+    monkeypatch.setattr(quote_links, "checkpointed", lambda df: rounds.append(1) or checkpointed(df))
+    chain = spark.range(0, 700).selectExpr("1L conv_id", "id turn", "'u' role", "concat('t', id) text")
+    assert sorted(r.depth for r in quote_links.link_quotes(chain).collect()) == list(range(700))
+    assert len(rounds) <= 3
+
+
+def test_runs_between_quotes_and_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(quote_links, "LEAST_BLOCK", 3)
+    rows = [(None, t, "u", f"start {t}") for t in range(9)]
+    # Every message quotes the second one before it; then two runs that leave an older message.
+    rows += [(1, t, "u", f"word {t}" + (f"\n> word {t - 2}" if t > 1 else "")) for t in range(20)]
+    rows += [(2, t, "u", f"text {t}" + {12: "\n> text 3", 19: "\n> text 14"}.get(t, "")) for t in range(30)]
+    df = spark.createDataFrame([(*r, "p", 1) for r in rows], SCHEMA)
+    got = quote_links.link_quotes(df).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(linked(rows), key=str)
+    assert max(r.depth for r in got if r.conversation == 1) == 10
+
+
 def test_empty(spark):
     assert quote_links.link_quotes(spark.createDataFrame([], SCHEMA)).count() == 0
 
