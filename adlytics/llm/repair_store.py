@@ -48,12 +48,16 @@ SHARDS = (
 )
 
 
-def _every_other(at: np.ndarray, kind: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Marks the first, third, ... of each run of neighbouring places of one kind."""
-    fresh = np.ones(len(at), bool)
-    fresh[1:] = (after[at[:-1]] != at[1:]) | (kind[1:] != kind[:-1])
-    place = np.arange(len(at))
-    return (place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0
+def _every_other(at: np.ndarray, kind: np.ndarray | None, after: np.ndarray) -> np.ndarray:
+    """Marks the first, third, ... of each run of neighbouring places of one kind, or of any."""
+    same = np.arange(len(at) - 1) if kind is None else np.flatnonzero(kind[1:] == kind[:-1])
+    # Places that continue a run; those of one run follow each other.
+    same = same[after[at[same]] == at[same + 1]] + 1
+    fresh = np.ones(len(same), bool)
+    fresh[1:] = same[1:] != same[:-1] + 1
+    marks = np.ones(len(at), bool)
+    marks[same[(same - np.maximum.accumulate(np.where(fresh, same, 0))) % 2 == 0]] = False
+    return marks
 
 
 def _frequent(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +125,7 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         own &= inverse >= 0
         at, inverse = at[own], inverse[own]
         # Of overlapping pairs every other one is replaced, from the left of each run.
-        wins = _every_other(at, np.zeros(len(at)), after)
+        wins = _every_other(at, None, after)
         used = np.bincount(inverse[wins], minlength=len(kinds)) >= LEAST_USES
         if not used.any():
             # None is left enough: the more frequent one is replaced, the most frequent always.

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 1 << 22
 #: Units remembered by a worker, and units encoded at a time. Past the number, the half that
 #: came up most often stays: words of a language recur, most others do not.
-REMEMBERED, AT_ONCE = 600_000, 10_000
+REMEMBERED, AT_ONCE = 600_000, 1_000
 
 _ENCODERS: dict[str, Encoder] = {}
 _LETTER, _MARK = 1, 2
@@ -42,6 +42,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark_id, self.mark = _mark(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
@@ -58,34 +59,67 @@ class Encoder:
         # Halved, so that what came up long ago gives way.
         self.sizes, self.seen = self.sizes[order], self.seen[order] // 2
 
+    def encode(self, units: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each unit has, and the ids one after the other.
+
+        Units are encoded as one text with a special token between them, where the library
+        cuts as between texts; one by one if a unit holds that token itself.
+        """
+        if self.mark is not None and not pc.any(pc.match_substring(units, self.mark)).as_py():
+            whole = pa.ListArray.from_arrays([0, len(units)], units.cast(pa.string()))
+            text = pc.binary_join(whole, self.mark)[0].as_py()
+            found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            ids = np.fromiter(found, np.uint32, len(found))
+            marks = np.flatnonzero(ids == self.mark_id)
+            if len(marks) == len(units) - 1:
+                return np.diff(marks, prepend=-1, append=len(ids)) - 1, np.delete(ids, marks)
+        encoded = [
+            e.ids for e in self.tokenizer.encode_batch_fast(units.to_pylist(), add_special_tokens=False)
+        ]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return sizes, np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
+
     def numbers(self, units: pa.LargeStringArray) -> np.ndarray:
-        """The number under which each of these different units is remembered."""
-        if len(self.known) + len(units) > REMEMBERED:
+        """The number under which each of these units is remembered."""
+        # Remembered units come first, so that they keep their numbers.
+        coded = pa.concat_arrays([self.known, units]).dictionary_encode()
+        if len(coded.dictionary) > REMEMBERED:
             self.make_room()
-        found = pc.index_in(units, value_set=self.known)
-        fresh = found.is_null()
-        numbers = found.fill_null(0).to_numpy().astype(np.int64)
-        new = units.filter(fresh)
+            coded = pa.concat_arrays([self.known, units]).dictionary_encode()
+        first, self.known = len(self.known), coded.dictionary
+        numbers = coded.indices.slice(first).to_numpy().astype(np.int64)
+        new = self.known.slice(first)
         if len(new):
             sizes, ids = [self.sizes], [self.ids]
             for at in range(0, len(new), AT_ONCE):
-                encoded = [
-                    e.ids
-                    for e in self.tokenizer.encode_batch_fast(
-                        new.slice(at, AT_ONCE).to_pylist(), add_special_tokens=False
-                    )
-                ]
-                sizes.append(np.fromiter(map(len, encoded), np.int64, len(encoded)))
-                ids.append(np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes[-1].sum())))
-            first = len(self.known)
-            numbers[fresh.to_numpy(zero_copy_only=False)] = np.arange(first, first + len(new))
+                own_sizes, own_ids = self.encode(new.slice(at, AT_ONCE))
+                sizes.append(own_sizes)
+                ids.append(own_ids)
             self.sizes, self.ids = np.concatenate(sizes), np.concatenate(ids)
-            self.known = pa.concat_arrays([self.known, new])
             self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int32)])
-        self.seen[numbers] += 1
+        came = np.zeros(len(self.known), bool)
+        came[numbers] = True
+        self.seen += came
         return numbers
 
 
+def _mark(tokenizer) -> tuple[int | None, str | None]:
+    """A special token that is found wherever it stands and takes nothing beside it."""
+    added = tokenizer.get_added_tokens_decoder()
+    texts = [token.content for token in added.values()]
+
+    def meet(left: str, right: str) -> bool:
+        return any(left.endswith(right[:n]) for n in range(1, min(len(left), len(right))))
+
+    for number, token in added.items():
+        own, others = token.content, [x for x in texts if x != token.content]
+        taken = token.lstrip or token.rstrip or token.single_word or token.normalized
+        overlaps = any(meet(own, x) or meet(x, own) for x in texts)
+        if token.special and not taken and not overlaps and not any(own in x for x in others):
+            return number, own
+    return None, None
+
+
 def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Pieces of ``values`` one after the other."""
     stops = np.cumsum(lengths)
@@ -149,8 +183,8 @@ def encode_column(encoder: Encoder, texts: pa.Array) -> Iterator[tuple[int, int,
             edges = np.flatnonzero(is_edge)
             units = pa.LargeStringArray.from_buffers(
                 len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))
-            ).dictionary_encode()
-            numbers = encoder.numbers(units.dictionary)[units.indices.to_numpy()]
+            )
+            numbers = encoder.numbers(units)
             lengths = encoder.sizes[numbers]
             stops = np.cumsum(lengths)
             places = (np.cumsum(encoder.sizes) - encoder.sizes)[numbers]

@@ -64,6 +64,61 @@ def test_units_that_give_way_are_encoded_anew(pairs, monkeypatch):
     assert len(encoder.known) == len(encoder.sizes) == len(encoder.seen)
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, whole):
+        self.whole, self.texts = whole, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.whole.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_new_units_are_encoded_as_few_texts(path):
+    encoder = tokens.Encoder(path)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeéßЖ語0!", k=rng.randint(1, 9))) for _ in range(5000)]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, 5000, 50)]
+    ((_, _, ids, ends),) = tokens.encode_column(encoder, pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == direct(path, texts)
+    assert len(encoder.known) > 3000 and counted.texts <= len(encoder.known) // tokens.AT_ONCE + 1
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_units_with_the_mark_or_parts_of_it(path):
+    mark = ENCODERS[path].mark
+    units = ["a", f" {mark}", f"b{mark}c", mark[:-1], mark[1:], f"{mark}{mark}", "<", ">", f" {mark[:5]}", " z"]
+    for own in (units, [u for u in units if mark not in u]):
+        sizes, ids = ENCODERS[path].encode(pa.array(own, pa.large_string()))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == direct(path, own)
+
+
+def test_a_token_that_overlaps_another_is_no_mark():
+    from tokenizers import AddedToken
+
+    own = Tokenizer.from_file(BYTES)
+    assert tokens._mark(own) == (50256, "<|endoftext|>")
+    own.add_special_tokens([AddedToken("x<|end", special=True)])
+    assert tokens._mark(own) == (None, None)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_other_place_of_a_run(seed):
+    rng = np.random.default_rng(seed)
+    after = np.append(np.where(rng.random(400) < 0.2, 400, np.arange(1, 401)), 400)
+    at = np.flatnonzero(rng.random(400) < 0.8)
+    kinds = rng.integers(0, 2, len(at))
+    for kind in (kinds, None):
+        want: list[bool] = []
+        for i, place in enumerate(at):
+            goes_on = i and after[at[i - 1]] == place and (kind is None or kind[i] == kind[i - 1])
+            want.append(not want[-1] if goes_on else True)
+        assert repair_store._every_other(at, kind, after).tolist() == want
+
+
 def best_fit_sequences(counts, capacity):
     """Best-fit decreasing, one piece at a time."""
     gaps = []
